@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -28,6 +28,9 @@ from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append
 LAYOUT = ("load_year", "load_month", "load_day", "file_name")
 
 
+RECONCILED = "file_name string, rows_landed long, rows_archived long, complete boolean"
+
+
 class ArchiveFailed(RuntimeError):
     """Some files could not be archived. The others were."""
 
@@ -114,22 +117,16 @@ def archive_landing(
     # One listing for the whole run: files that land meanwhile wait for the next one.
     decided = written(decide(found, archived), f"{work}/decided")
     copies = decided.where("action = 'copy'")
+    checked = spark.createDataFrame([], RECONCILED)
     error = None
-    if not copies.isEmpty():
+    oldest = copies.agg(F.min("changed_at")).first()[0]
+    if oldest is not None:
         try:
-            write_archive(landed_rows(spark, source_root, entity.table, copies), target_root)
+            rows = landed_rows(spark, source_root, entity.table, copies, oldest)
+            write_archive(rows, target_root)
+            checked = reconcile(rows, archived_rows(spark, target_root, copies))
         except (SchemaDrift, PySparkException, Py4JJavaError) as failure:
             error = f"copy failed: {failure}"
-
-    if error is None and not copies.isEmpty():
-        checked = reconcile(
-            landed_rows(spark, source_root, entity.table, copies),
-            archived_rows(spark, target_root, copies),
-        )
-    else:
-        checked = spark.createDataFrame(
-            [], "file_name string, rows_landed long, rows_archived long, complete boolean"
-        )
     results = decided.join(checked, "file_name", "left")
     failed_copy = F.lit(error is not None) | ~F.coalesce("complete", F.lit(True))
     ok = (F.col("action") == "accept") | ((F.col("action") == "copy") & ~failed_copy)
@@ -163,17 +160,19 @@ def archive_landing(
         ),
         f"{work}/results",
     )
-    append(entry, lake.archive_log, lake.table_format)
+    append(entry, lake.archive_log)
     return entry
 
 
-def landed_rows(spark: SparkSession, source_root: str, table: str, files: DataFrame) -> DataFrame:
+def landed_rows(
+    spark: SparkSession, source_root: str, table: str, files: DataFrame, oldest: datetime
+) -> DataFrame:
     """Rows of the landed ``files``, each with its file's name and date parts.
 
-    The listing leaves out names that do not follow the convention and, by change time, files that
-    were there before the oldest of ``files``; the join settles the rest exactly.
+    The listing leaves out names that do not follow the convention and files last changed before
+    the ``oldest`` of ``files``; the join settles the rest exactly.
     """
-    since = files.agg(F.min("changed_at") - F.expr("interval 1 second")).first()[0]
+    since = oldest.astimezone(timezone.utc) - timedelta(seconds=1)
     scan = read_files(
         spark,
         source_root,
