@@ -19,7 +19,6 @@ from tidemill.sources.files import (
     classify_files,
     discover_files,
     name_glob,
-    plain_path,
     read_files,
 )
 from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append
@@ -167,7 +166,8 @@ def archive_landing(
 def landed_rows(
     spark: SparkSession, source_root: str, table: str, files: DataFrame, oldest: datetime
 ) -> DataFrame:
-    """Rows of the landed ``files``, each with its file's name and date parts.
+    """Rows of the landed ``files``, each with its file's name and date parts. The landing folder is
+    flat, so the name identifies the file.
 
     The listing leaves out names that do not follow the convention and files last changed before
     the ``oldest`` of ``files``; the join settles the rest exactly.
@@ -180,10 +180,9 @@ def landed_rows(
         modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"),
         timeZone="UTC",
     )
-    wanted = files.select("path", "file_name", "source_date")
-    rows = scan.select("*", plain_path(F.col("_metadata.file_path")).alias("path"))
+    rows = scan.select("*", F.col("_metadata.file_name").alias("file_name"))
     return (
-        rows.join(wanted, "path")
+        rows.join(files.select("file_name", "source_date"), "file_name")
         .withColumns(layout_columns("source_date"))
         .select(*scan.columns, *LAYOUT)
     )

@@ -20,8 +20,8 @@ MANIFEST = StructType(
 
 
 def plain_path(path: Column) -> Column:
-    """A path without its scheme and with one leading slash, as listings and scans spell it
-    differently (``file:/a``, ``file:///a``)."""
+    """A path without its scheme and with one leading slash, however it is spelled (``file:/a``,
+    ``file:///a``)."""
     return F.regexp_replace(path, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*", "/")
 
 
@@ -29,8 +29,8 @@ def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> Da
     """All ``*.parquet`` files under ``root``, whatever the case of the suffix: path, file name,
     size, change time. A missing folder gives an empty manifest.
 
-    This is a scan of the ``binaryFile`` source without its content column, so it lists and opens
-    nothing.
+    This is a scan of the ``binaryFile`` source without its content column, so it lists but opens
+    nothing. Spark gives files of zero bytes, which are not Parquet, no task; they do not appear.
     """
     try:
         listing = (
