@@ -106,41 +106,43 @@ def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(*(cleaned(c, rules.get(c)) for c in orders.columns))
 
 
-def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order is a version of its customer; customers without orders have one bare version."""
-    customer = _table(spark, sf_dir, "customer")
-    orders = _table(spark, sf_dir, "orders")
-    return customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("first_name"),
-        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("last_name"),
-        F.concat(F.lit(" "), F.col("c_name"), F.lit("@"), F.col("c_mktsegment")).alias("email"),
+def current_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a version of its customer; customers without orders have one bare version.
+
+    The versions are reduced before the customers are joined on, so that a customer with very many
+    orders weighs no more than any other.
+    """
+    versions = _table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderpriority").alias("city"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderdate").alias("modified_at"),
         F.col("o_orderkey").alias("order_id"),
     )
-
-
-def current_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = {"first_name": "trim", "last_name": "trim", "email": "lower"}
-    latest = latest_per_key(
-        customer_history(spark, sf_dir), ["customer_id"], ("modified_at", "order_id")
+    latest = latest_per_key(versions, ["customer_id"], ("modified_at", "order_id"))
+    names = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("first_name"),
+        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("last_name"),
+        F.concat(F.lit(" "), F.col("c_name"), F.lit("@"), F.col("c_mktsegment")).alias("email"),
     )
-    return latest.select(
-        *(cleaned(c, rules.get(c)) for c in latest.columns if c != "order_id")
+    return names.join(latest, "customer_id", "left").select(
+        "customer_id",
+        cleaned("first_name", "trim"),
+        cleaned("last_name", "trim"),
+        cleaned("email", "lower"),
+        "city",
+        "status",
+        "created_at",
+        "modified_at",
     )
 
 
-def product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sale is a price version of its product."""
-    part = _table(spark, sf_dir, "part")
-    sales = _table(spark, sf_dir, "lineitem")
-    return part.join(sales, F.col("p_partkey") == F.col("l_partkey"), "left").select(
-        F.col("p_partkey").alias("product_id"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("product_name"),
-        F.concat(F.lit(" "), F.col("p_type")).alias("category"),
+    versions = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").cast(PRICE).alias("unit_price"),
         (F.col("l_linestatus") == "O").alias("is_active"),
         F.col("l_shipdate").alias("created_at"),
@@ -149,15 +151,21 @@ def product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("line_number"),
         F.col("l_suppkey").alias("supplier_id"),
     )
-
-
-def current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = {"product_name": "trim", "category": "trim"}
     order = ("modified_at", "order_id", "line_number", "supplier_id")
-    latest = latest_per_key(product_history(spark, sf_dir), ["product_id"], order)
-    extra = set(order[1:])
-    return latest.select(
-        *(cleaned(c, rules.get(c)) for c in latest.columns if c not in extra)
+    latest = latest_per_key(versions, ["product_id"], order)
+    names = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("product_name"),
+        F.concat(F.lit(" "), F.col("p_type")).alias("category"),
+    )
+    return names.join(latest, "product_id", "left").select(
+        "product_id",
+        cleaned("product_name", "trim"),
+        cleaned("category", "trim"),
+        "unit_price",
+        "is_active",
+        "created_at",
+        "modified_at",
     )
 
 

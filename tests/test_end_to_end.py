@@ -13,7 +13,7 @@ from tidemill.operators.history import key_history, table_counts
 from tidemill.operators.ledger import ingest_anomalies, ledger_report
 from tidemill.operators.quality import run_checks
 from tidemill.plans.archive import archive_all
-from tidemill.plans.build import Mart, build_star
+from tidemill.plans.build import Mart, build_star, register_views
 from tidemill.plans.ingest import ingest_all
 from tidemill.sources.tables import Lakehouse, committed_history, prepare
 
@@ -199,5 +199,16 @@ def test_reports(world):
     assert len(report) == 15
     assert [r.started_at for r in report] == sorted((r.started_at for r in report), reverse=True)
     assert {r.source_file.count("/") for r in report} == {5}
+    loads = [r.loaded_at for r in ledger_report(ledger, newest_first=False).collect()]
+    assert loads == sorted(loads)
     rows = ledger.agg(F.sum("rows_ingested")).first()[0]
     assert rows == 29 + 14 + 27 + 30
+
+
+def test_relations_answer_sql(world):
+    register_views({t: world.mart.read(world.spark, t) for t in ("fact_sales", "dim_customer")})
+    sold = world.spark.sql(
+        "SELECT city, sum(net_amount) AS net FROM fact_sales JOIN dim_customer USING (customer_key) "
+        "WHERE customer_status = 'inactive' GROUP BY city"
+    )
+    assert {r.city for r in sold.collect()} == {"Solna", "Stockholm"}

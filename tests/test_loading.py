@@ -122,7 +122,8 @@ def test_missing_and_retyped_columns_are_refused(loader):
         loader.ingest("first", allow_new_columns=True)
 
 
-def test_crash_between_data_and_ledger_loads_once(loader, monkeypatch):
+@pytest.mark.parametrize("retry, left_over", [("lost", 4), ("retry", 8)])
+def test_crash_between_data_and_ledger_loads_once(loader, monkeypatch, retry, left_over):
     loader.land(GOOD, [customer(n, at(1)) for n in range(4)])
     loader.store("first")
 
@@ -133,10 +134,24 @@ def test_crash_between_data_and_ledger_loads_once(loader, monkeypatch):
         patch.setattr(ingest_module, "ledger_rows", die)
         with pytest.raises(KeyboardInterrupt):
             loader.ingest("lost")
-    table = loader.spark.table(loader.lake.history(CUSTOMER))
-    assert table.count() == 4 and loader.history().isEmpty()
-    assert loader.ingest("retry") == 1
-    assert table.count() == 8 and loader.history().count() == 4
+    table = loader.lake.history(CUSTOMER)
+    assert loader.spark.table(table).count() == 4 and loader.history().isEmpty()
+    assert loader.ingest(retry) == 1
+    assert loader.spark.table(table).count() == left_over
+    assert loader.history().count() == 4
+
+
+def test_a_loaded_batch_id_is_not_used_again(loader):
+    loader.land(GOOD, [customer(1, at(1))])
+    loader.store("first")
+    assert loader.ingest("it's") == 1
+    assert loader.ingest("it's") == 0
+    loader.land("customer_20260802_full.parquet", [customer(2, at(2))])
+    loader.store("second")
+    with pytest.raises(ValueError, match="take a new id"):
+        loader.ingest("it's")
+    assert [r.customer_id for r in loader.history().collect()] == [1]
+    assert loader.ingest("other") == 1
 
 
 def test_late_file_of_an_earlier_day_is_picked_up(loader):

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.union import union_all
+
 
 def key_history(
     history: DataFrame, key: str, value: Any, time_column: str = "modified_at"
@@ -28,4 +29,4 @@ def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) ->
         else:
             count = df.agg(F.count(F.lit(1)).alias("row_count"))
         counts.append(count.select(F.lit(name).alias("table_name"), "row_count"))
-    return reduce(DataFrame.unionByName, counts)
+    return union_all(counts)

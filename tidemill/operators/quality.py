@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.contracts import Checks
+from tidemill.operators.union import union_all
 
 
 def not_null(df: DataFrame, relation: str, columns: Iterable[str]) -> DataFrame:
     """Null counts of all ``columns`` in one pass over ``df``, one result row per column."""
     columns = list(columns)
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    rows = F.array(
-        *(F.struct(F.lit(c).alias("column"), F.col(c).alias("violations")) for c in columns)
-    )
-    return counts.select(
-        F.lit("not_null").alias("check_name"), F.lit(relation).alias("relation"), F.inline(rows)
+    counts = df.selectExpr(*(f"count_if(`{c}` IS NULL) AS `{c}`" for c in columns))
+    rows = ", ".join(f"struct('{c}' AS column, `{c}` AS violations)" for c in columns)
+    return counts.selectExpr(
+        "'not_null' AS check_name", f"'{relation}' AS relation", f"inline(array({rows}))"
     )
 
 
@@ -27,7 +25,7 @@ def unique(df: DataFrame, relation: str, column: str) -> DataFrame:
     """Number of non-null values that occur more than once. Counts are combined before the shuffle,
     so a value with very many copies arrives as one row per task."""
     repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return _result("unique", relation, column, repeated.agg(F.count(F.lit(1)).alias("violations")))
+    return _result("unique", relation, column, repeated, "count(1)")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -50,16 +48,17 @@ def relationships(
 ) -> DataFrame:
     """Number of child rows whose non-null ``column`` has no parent."""
     missing = orphans(child, column, parent, parent_column)
-    total = F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("violations")
-    return _result("relationships", relation, column, missing.agg(total))
+    return _result("relationships", relation, column, missing, "coalesce(sum(rows), 0L)")
 
 
-def _result(check: str, relation: str, column: str, violations: DataFrame) -> DataFrame:
-    return violations.select(
-        F.lit(check).alias("check_name"),
-        F.lit(relation).alias("relation"),
-        F.lit(column).alias("column"),
-        F.col("violations"),
+def _result(
+    check: str, relation: str, column: str, violations: DataFrame, total: str
+) -> DataFrame:
+    return violations.selectExpr(
+        f"'{check}' AS check_name",
+        f"'{relation}' AS relation",
+        f"'{column}' AS column",
+        f"{total} AS violations",
     )
 
 
@@ -81,7 +80,7 @@ def run_checks(relations: Mapping[str, DataFrame], checks: Mapping[str, Checks])
             relationships(df, name, column, relations[parent], parent_column)
             for column, parent, parent_column in declared.relationships
         ]
-    return reduce(DataFrame.unionByName, results)
+    return union_all(results)
 
 
 def violated(report: DataFrame) -> DataFrame:
