@@ -13,7 +13,7 @@ from tidemill.operators.history import key_history, table_counts
 from tidemill.operators.ledger import ingest_anomalies, ledger_report
 from tidemill.operators.quality import run_checks
 from tidemill.plans.archive import archive_all
-from tidemill.plans.build import Mart, build_star, register_views
+from tidemill.plans.build import Mart, build_star, line_relations, register_views
 from tidemill.plans.ingest import ingest_all
 from tidemill.sources.tables import Lakehouse, committed_history, prepare
 
@@ -55,7 +55,8 @@ class World:
         loaded = ingest_all(
             self.spark, self.lake, self.archive, ENTITIES, batch_id, clock=self.clock
         )
-        return loaded, build_star(self.spark, self.lake, self.mart, full_refresh)
+        build = build_star(self.spark, self.lake, self.mart, full_refresh)
+        return loaded, {**build.relations, **line_relations(self.spark, self.lake, build)}
 
     def history(self, entity):
         return committed_history(self.spark, self.lake, entity)

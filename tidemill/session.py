@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+SPLIT_BYTES = 512 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -34,6 +37,18 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` on ``cores``: scan and shuffle partitions of about
+    ``SPLIT_BYTES``, at least one per core. Adaptive execution merges what turns out small."""
+    partitions = min(max(-(-input_bytes // SPLIT_BYTES), cores), MAX_SHUFFLE_PARTITIONS)
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SPLIT_BYTES // 2),
+    }
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
