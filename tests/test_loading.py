@@ -27,9 +27,16 @@ class Loader:
     def land(self, name, rows, schema=None):
         return land_file(self.spark, self.landing, CUSTOMER, name, rows, schema)
 
-    def store(self, batch):
+    def store(self, batch, recursive=False):
         return archive_all(
-            self.spark, self.lake, self.landing, self.archive, (CUSTOMER,), batch, self.clock()
+            self.spark,
+            self.lake,
+            self.landing,
+            self.archive,
+            (CUSTOMER,),
+            batch,
+            self.clock(),
+            recursive,
         ).first()
 
     def ingest(self, batch, **options):
@@ -166,3 +173,23 @@ def test_late_file_of_an_earlier_day_is_picked_up(loader):
     assert loader.ingest("second") == 2
     rows = loader.history().groupBy("_batch_id").count().collect()
     assert {r._batch_id: r["count"] for r in rows} == {"first": 1, "second": 3}
+
+
+def test_an_existing_dated_tree_is_taken_over(loader):
+    for day, number in ((1, 10), (2, 20)):
+        name = f"2026/08/0{day}/customer_2026080{day}_full.parquet"
+        (loader.root / f"landing/crm/customer/2026/08/0{day}").mkdir(parents=True)
+        loader.land(name, [customer(n, at(day)) for n in range(number)])
+    assert tuple(loader.store("flat")) == (0, 0, 0)
+    assert tuple(loader.store("tree", recursive=True)) == (2, 2, 0)
+    assert loader.ingest("tree") == 2
+    assert loader.history().count() == 30
+    files = {r[0] for r in loader.history().select("_source_file").distinct().collect()}
+    assert files == {
+        "crm/customer/2026/08/01/customer_20260801_full.parquet",
+        "crm/customer/2026/08/02/customer_20260802_full.parquet",
+    }
+    (loader.root / "landing/crm/customer/copy").mkdir()
+    loader.land("copy/customer_20260802_full.parquet", [customer(1, at(2))])
+    with pytest.raises(ArchiveFailed, match="2 file"):
+        loader.store("twins", recursive=True)

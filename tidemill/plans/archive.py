@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -43,7 +43,11 @@ def decide(files: DataFrame, archived: DataFrame) -> DataFrame:
 
     ``archived`` has one row (file_name, archived_size) per file in the archive. The archive is
     never changed: a file that comes again is accepted if its size is the same, else it fails.
+    Several files of one name, possible below a folder tree, all fail.
     """
+    namesakes = F.count(F.lit(1)).over(Window.partitionBy("file_name"))
+    reason = F.when(namesakes > 1, F.lit("file name occurs in several folders"))
+    files = files.withColumn("reject_reason", F.coalesce("reject_reason", reason))
     again = F.col("archived_size").isNotNull()
     same = F.col("archived_size") == F.col("size_bytes")
     action = (
@@ -92,10 +96,12 @@ def archive_landing(
     entity: Entity,
     batch_id: str,
     now: datetime,
+    recursive: bool = False,
 ) -> DataFrame:
     """Archive the new files of one entity and log one row per landed file. Returns these rows.
 
-    A bad name or a changed file fails on its own; files that cannot be read together fail
+    Files are expected in the entity's landing folder, or with ``recursive`` anywhere below it, as
+    in an existing ``yyyy/mm/dd`` tree to be taken over. A bad name or a changed file fails on its own; files that cannot be read together fail
     together. The caller removes landed files when it likes: repeating this is a no-op for them.
     """
     source_root = archive_root(landing, entity)
@@ -111,7 +117,7 @@ def archive_landing(
         F.max("size_bytes").alias("archived_size"), F.max("rows_archived").alias("rows_before")
     )
     found = classify_files(
-        discover_files(spark, source_root, recursive=False), entity.source, entity.table
+        discover_files(spark, source_root, recursive), entity.source, entity.table
     )
     # One listing for the whole run: files that land meanwhile wait for the next one.
     decided = written(decide(found, archived), f"{work}/decided")
@@ -121,7 +127,7 @@ def archive_landing(
     oldest = copies.agg(F.min("changed_at")).first()[0]
     if oldest is not None:
         try:
-            rows = landed_rows(spark, source_root, entity.table, copies, oldest)
+            rows = landed_rows(spark, source_root, entity.table, copies, oldest, recursive)
             write_archive(rows, target_root)
             checked = reconcile(rows, archived_rows(spark, target_root, copies))
         except (SchemaDrift, PySparkException, Py4JJavaError) as failure:
@@ -164,10 +170,15 @@ def archive_landing(
 
 
 def landed_rows(
-    spark: SparkSession, source_root: str, table: str, files: DataFrame, oldest: datetime
+    spark: SparkSession,
+    source_root: str,
+    table: str,
+    files: DataFrame,
+    oldest: datetime,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Rows of the landed ``files``, each with its file's name and date parts. The landing folder is
-    flat, so the name identifies the file.
+    """Rows of the landed ``files``, which have different names, each with its file's name and date
+    parts.
 
     The listing leaves out names that do not follow the convention and files last changed before
     the ``oldest`` of ``files``; the join settles the rest exactly.
@@ -179,6 +190,7 @@ def landed_rows(
         pathGlobFilter=name_glob(table),
         modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"),
         timeZone="UTC",
+        recursiveFileLookup=recursive,
     )
     rows = scan.select("*", F.col("_metadata.file_name").alias("file_name"))
     return (
@@ -209,10 +221,11 @@ def archive_all(
     entities: tuple[Entity, ...],
     batch_id: str,
     now: datetime,
+    recursive: bool = False,
 ) -> DataFrame:
     """Archive every entity, then raise if any file failed. Returns the summary."""
     for entity in entities:
-        archive_landing(spark, lake, landing, archive, entity, batch_id, now)
+        archive_landing(spark, lake, landing, archive, entity, batch_id, now, recursive)
     summary = load_summary(
         spark.table(lake.archive_log).where(F.col("batch_id") == batch_id)
     )

@@ -108,7 +108,7 @@ def name_glob(table: str) -> str:
     return f"{any_case(table)}_{'[0-9]' * 8}_{load_types}{any_case('.parquet')}"
 
 
-def read_files(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
+def read_files(spark: SparkSession, *paths: str, **options: str | bool) -> DataFrame:
     """One scan over all ``paths`` with the union of their columns. Footers are merged by a Spark
     job; columns of conflicting types raise."""
     try:
