@@ -212,7 +212,7 @@ def lookup_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 def fact(spark: SparkSession, sf_dir: str, history: DataFrame) -> DataFrame:
     rows = enriched(spark, sf_dir, current_lines(history), history)
-    return fact_rows(rows, *lookup_dims(spark, sf_dir))
+    return fact_rows(rows, *lookup_dims(spark, sf_dir), history, orders_table(spark, sf_dir))
 
 
 def older_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.retail import BATCHES, at, land, ticking
-from tidemill.contracts import CHECKS, CUSTOMER, ENTITIES, ORDERS
+from tests.retail import BATCHES, at, land, land_file, line, ticking
+from tidemill.contracts import CHECKS, CUSTOMER, ENTITIES, ORDER_LINE, ORDERS
 from tidemill.operators.history import key_history, table_counts
 from tidemill.operators.ledger import ingest_anomalies, ledger_report
 from tidemill.operators.quality import run_checks
+from tidemill.plans import build as build_module
 from tidemill.plans.archive import archive_all
 from tidemill.plans.build import Mart, build_star, line_relations, register_views
 from tidemill.plans.ingest import ingest_all
@@ -213,3 +215,31 @@ def test_relations_answer_sql(world):
         "WHERE customer_status = 'inactive' GROUP BY city"
     )
     assert {r.city for r in sold.collect()} == {"Solna", "Stockholm"}
+
+
+def test_interrupted_publication_is_completed(world, monkeypatch):
+    """Last in this file, as it adds a line version."""
+    before = world.fact().collect()
+    row = line(30001, 20001, 501, 2, 14999, 0, at(22, 12))
+    land_file(
+        world.spark, world.landing, ORDER_LINE, "order_line_20260823_incremental.parquet", [row]
+    )
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(build_module, "publish_staged", die)
+        with pytest.raises(KeyboardInterrupt):
+            world.run("cut short")
+    # as if the run had died after removing the partition of lines 30000 to 30009
+    folder = Path(world.mart.note(world.spark, build_module.CURRENT), "line_range=3000")
+    for file in folder.iterdir():
+        file.unlink()
+    assert world.fact().count() == len(before) - 9
+    world.run("afterwards")
+    after = {r.order_line_id: r for r in world.fact().collect()}
+    assert len(after) == len(before)
+    assert after[30001].quantity == 2
+    assert all(after[r.order_line_id] == r for r in before if r.order_line_id != 30001)
+    assert world.mart.note(world.spark, build_module.STAGED) is None
