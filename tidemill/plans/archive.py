@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemill.contracts import FAILED, SUCCESS, Entity
 from tidemill.operators.ledger import load_summary
+from tidemill.operators.union import union_all
 from tidemill.session import work_dir, written
 from tidemill.sources.files import (
     SchemaDrift,
@@ -27,7 +28,11 @@ from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append
 LAYOUT = ("load_year", "load_month", "load_day", "file_name")
 
 
-RECONCILED = "file_name string, rows_landed long, rows_archived long, complete boolean"
+FILE_KEY = ("source_name", "table_name", "file_name")
+RECONCILED = (
+    "file_name string, rows_landed long, rows_archived long, complete boolean, "
+    "source_name string, table_name string"
+)
 
 
 class ArchiveFailed(RuntimeError):
@@ -41,11 +46,11 @@ def archive_root(root: str, entity: Entity) -> str:
 def decide(files: DataFrame, archived: DataFrame) -> DataFrame:
     """What to do with each landed file: copy it, accept it as archived before, or fail it.
 
-    ``archived`` has one row (file_name, archived_size) per file in the archive. The archive is
-    never changed: a file that comes again is accepted if its size is the same, else it fails.
-    Several files of one name, possible below a folder tree, all fail.
+    ``archived`` has one row (FILE_KEY, archived_size) per file in the archive. The archive is never
+    changed: a file that comes again is accepted if its size is the same, else it fails. Several
+    files of one name, possible below a folder tree, all fail.
     """
-    namesakes = F.count(F.lit(1)).over(Window.partitionBy("file_name"))
+    namesakes = F.count(F.lit(1)).over(Window.partitionBy(*FILE_KEY))
     reason = F.when(namesakes > 1, F.lit("file name occurs in several folders"))
     files = files.withColumn("reject_reason", F.coalesce("reject_reason", reason))
     again = F.col("archived_size").isNotNull()
@@ -56,7 +61,7 @@ def decide(files: DataFrame, archived: DataFrame) -> DataFrame:
         .when(again, F.lit("conflict"))
         .otherwise(F.lit("copy"))
     )
-    return files.join(archived, "file_name", "left").withColumn("action", action)
+    return files.join(archived, list(FILE_KEY), "left").withColumn("action", action)
 
 
 def layout_columns(day: str) -> dict[str, Column]:
@@ -93,55 +98,69 @@ def archive_landing(
     lake: Lakehouse,
     landing: str,
     archive: str,
-    entity: Entity,
+    entities: tuple[Entity, ...],
     batch_id: str,
     now: datetime,
     recursive: bool = False,
 ) -> DataFrame:
-    """Archive the new files of one entity and log one row per landed file. Returns these rows.
+    """Archive the new files of all entities and log one row per landed file. Returns these rows.
 
-    Files are expected in the entity's landing folder, or with ``recursive`` anywhere below it, as
-    in an existing ``yyyy/mm/dd`` tree to be taken over. A bad name or a changed file fails on its own; files that cannot be read together fail
-    together. The caller removes landed files when it likes: repeating this is a no-op for them.
+    Files are expected in their entity's landing folder, or with ``recursive`` anywhere below it, as
+    in an existing ``yyyy/mm/dd`` tree to be taken over. A bad name or a changed file fails on its
+    own; files of one entity that cannot be read together fail together. The caller removes landed
+    files when it likes: repeating this is a no-op for them.
     """
-    source_root = archive_root(landing, entity)
-    target_root = archive_root(archive, entity)
     work = work_dir(spark)
-
-    log = spark.table(lake.archive_log).where(
-        (F.col("source_name") == entity.source)
-        & (F.col("table_name") == entity.table)
-        & (F.col("status") == SUCCESS)
-    )
-    archived = log.groupBy("file_name").agg(
+    log = spark.table(lake.archive_log).where(F.col("status") == SUCCESS)
+    archived = log.groupBy(*FILE_KEY).agg(
         F.max("size_bytes").alias("archived_size"), F.max("rows_archived").alias("rows_before")
     )
-    found = classify_files(
-        discover_files(spark, source_root, recursive), entity.source, entity.table
-    )
+    found = [
+        classify_files(
+            discover_files(spark, archive_root(landing, e), recursive), e.source, e.table
+        )
+        for e in entities
+    ]
     # One listing for the whole run: files that land meanwhile wait for the next one.
-    decided = written(decide(found, archived), f"{work}/decided")
+    decided = written(decide(union_all(found), archived), f"{work}/decided")
     copies = decided.where("action = 'copy'")
-    checked = spark.createDataFrame([], RECONCILED)
-    error = None
-    oldest = copies.agg(F.min("changed_at")).first()[0]
-    if oldest is not None:
+    # One row per entity.
+    oldest = {
+        (r.source_name, r.table_name): r.oldest
+        for r in copies.groupBy("source_name", "table_name")
+        .agg(F.min("changed_at").alias("oldest"))
+        .collect()
+    }
+    checked = [spark.createDataFrame([], RECONCILED)]
+    copy_error = F.lit(None).cast("string")
+    for entity in entities:
+        own = (F.col("source_name") == entity.source) & (F.col("table_name") == entity.table)
+        since = oldest.get((entity.source, entity.table))
+        if since is None:
+            continue
+        source_root, target_root = archive_root(landing, entity), archive_root(archive, entity)
         try:
-            rows = landed_rows(spark, source_root, entity.table, copies, oldest, recursive)
+            rows = landed_rows(
+                spark, source_root, entity.table, copies.where(own), since, recursive
+            )
             write_archive(rows, target_root)
-            checked = reconcile(rows, archived_rows(spark, target_root, copies))
+            counts = reconcile(rows, archived_rows(spark, target_root, copies.where(own)))
+            names = {"source_name": F.lit(entity.source), "table_name": F.lit(entity.table)}
+            checked.append(counts.withColumns(names))
         except (SchemaDrift, PySparkException, Py4JJavaError) as failure:
-            error = f"copy failed: {failure}"
-    results = decided.join(checked, "file_name", "left")
-    failed_copy = F.lit(error is not None) | ~F.coalesce("complete", F.lit(True))
-    ok = (F.col("action") == "accept") | ((F.col("action") == "copy") & ~failed_copy)
+            copy_error = F.when(own, F.lit(f"copy failed: {failure}")).otherwise(copy_error)
+
+    results = decided.join(union_all(checked), list(FILE_KEY), "left").withColumn(
+        "copy_error", copy_error
+    )
+    complete = F.col("copy_error").isNull() & F.coalesce("complete", F.lit(True))
+    ok = (F.col("action") == "accept") | ((F.col("action") == "copy") & complete)
     message = (
         F.when(F.col("action") == "reject", F.col("reject_reason"))
         .when(F.col("action") == "accept", F.lit("already archived, same size"))
         .when(F.col("action") == "conflict", F.lit("already archived with another size"))
         .when(ok, F.lit("archived, row counts agree"))
-        .when(F.lit(error is not None), F.lit(error))
-        .otherwise(F.lit("row counts differ after the copy"))
+        .otherwise(F.coalesce("copy_error", F.lit("row counts differ after the copy")))
     )
     rows = F.when(F.col("action") == "accept", F.col("rows_before")).when(
         ok, F.coalesce("rows_archived", F.lit(0))
@@ -224,11 +243,10 @@ def archive_all(
     recursive: bool = False,
 ) -> DataFrame:
     """Archive every entity, then raise if any file failed. Returns the summary."""
-    for entity in entities:
-        archive_landing(spark, lake, landing, archive, entity, batch_id, now, recursive)
-    summary = load_summary(
-        spark.table(lake.archive_log).where(F.col("batch_id") == batch_id)
+    results = archive_landing(
+        spark, lake, landing, archive, entities, batch_id, now, recursive
     )
+    summary = load_summary(results)
     failed = summary.first()["failed"]
     if failed:
         raise ArchiveFailed(f"{failed} file(s) were not archived; they stay in the landing folder")
