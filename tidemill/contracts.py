@@ -149,7 +149,7 @@ ENTITIES = (CUSTOMER, PRODUCT, ORDERS, ORDER_LINE)
 
 @dataclass(frozen=True)
 class Checks:
-    """Declared data tests of one relation. ``relationships`` holds (column, parent, parent column)."""
+    """Declared data tests of one relation; ``relationships`` has (column, parent, its column)."""
 
     not_null: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()

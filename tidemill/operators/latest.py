@@ -11,7 +11,9 @@ from tidemill.contracts import VERSION_ORDER, Entity
 from tidemill.functions import cleaned
 
 
-def latest_per_key(history: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    history: DataFrame, keys: Sequence[str], newest_first: Sequence[str]
+) -> DataFrame:
     """The newest row per key: greatest ``newest_first`` columns, nulls last.
 
     Spark plans ``row_number() = 1`` as a group limit before and after the shuffle, so each task
