@@ -7,6 +7,8 @@ they say, ``part`` is the product list. ``events`` stands for dated files, one p
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -574,7 +576,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_sales_enriched(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "current_order_lines": q_current_order_lines,
         "current_events_by_user": q_current_events_by_user,
@@ -608,5 +610,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def training_data():
+    """The registry of the training-data operators, or None where that subpackage is not installed."""
+    if importlib.util.find_spec("tidemill.llm") is None:
+        return None
+    return importlib.import_module("tidemill.llm.registry")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = training_data()
+    return {**core_queries(), **(more.queries() if more else {})}
+
+
+def core_oracle_sql() -> dict[str, str]:
     return oracle_queries.oracle_sql(CUT, TABLES)
+
+
+def oracle_sql() -> dict[str, str]:
+    more = training_data()
+    return {**core_oracle_sql(), **(more.oracle_sql() if more else {})}

@@ -6,8 +6,8 @@ import __spark_entry__ as registered
 from tests.compare import assert_same, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
-ORACLES = registered.oracle_sql()
+QUERIES = registered.core_queries()
+ORACLES = registered.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")
