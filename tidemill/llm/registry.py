@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm import byte_bpe
 from tidemill.llm.common import table
 from tidemill.llm.top_k import top_k_search
 
@@ -31,7 +35,28 @@ def op6_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+@F.arrow_udf("string")
+def packed_sha256(ids: pa.Array) -> pa.Array:
+    """SHA-256 of each list of ids as little-endian unsigned 32-bit integers."""
+    lists = (x.values.to_numpy().astype("<u4") for x in ids)
+    return pa.array([hashlib.sha256(x).hexdigest() for x in lists])
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = byte_bpe.Vocabulary(spark, path, public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(docs, vocabulary).drop("text")
+    return byte_bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        packed_sha256("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op6_top_k_search": op6_top_k_search,
 }
 
