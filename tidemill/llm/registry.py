@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Callable
 from pathlib import Path
 
-import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe
-from tidemill.llm.common import table
-from tidemill.llm.top_k import top_k_search
+from tidemill.llm.queries import op3, op4, op6
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
+MODULES = {
+    "op3_byte_bpe": op3,
+    "op4_token_files": op4,
+    "op6_top_k_search": op6,
+}
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import the package from this checkout where it is not installed."""
@@ -29,38 +29,6 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, *paths) if p)
 
 
-def op6_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    found = top_k_search(vectors, F.col("vec_id") % 100 == 0)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
-
-@F.arrow_udf("string")
-def packed_sha256(ids: pa.Array) -> pa.Array:
-    """SHA-256 of each list of ids as little-endian unsigned 32-bit integers."""
-    lists = (x.values.to_numpy().astype("<u4") for x in ids)
-    return pa.array([hashlib.sha256(x).hexdigest() for x in lists])
-
-
-def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    vocabulary = byte_bpe.Vocabulary(spark, path, public_tokenizers.PATTERN)
-    encoded = byte_bpe.encode(docs, vocabulary).drop("text")
-    return byte_bpe.decode(encoded, vocabulary).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        packed_sha256("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
-
-
-QUERIES: dict[str, Query] = {
-    "op3_byte_bpe": op3_byte_bpe,
-    "op6_top_k_search": op6_top_k_search,
-}
-
-
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
@@ -70,8 +38,8 @@ def _ready(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _ready(query) for name, query in QUERIES.items()}
+    return {name: _ready(module.query) for name, module in MODULES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: module.SQL for name, module in MODULES.items() if hasattr(module, "SQL")}
