@@ -6,12 +6,13 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidemill.llm.common import Workspace, table
 from tidemill.llm.token_files import read_token_files, write_token_files
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def packed_crc32(ids: pa.Array) -> pa.Array:
     """CRC-32 of each list of ids as little-endian unsigned 32-bit integers."""
     return pa.array([zlib.crc32(x.values.to_numpy().astype("<u4")) for x in ids], pa.int64())
