@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ NEVER = np.int32(2**31 - 1)
 # Matches longer than this are merged with a priority queue: matrix rounds cost the square of length.
 LONG_MATCH = 256
 # Words kept per Python worker before the table of known words starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 # Rows of one matrix.
 BUCKET_ROWS = 16384
 # Characters whose words are in memory at once, as far as whole texts allow.
@@ -248,6 +249,36 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*arrays, values], [*names, name])
 
 
+def encode_batches(
+    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, text: str, ids: str
+) -> Iterator[pa.RecordBatch]:
+    """What ``encode`` does inside a task; output batches hold about CHUNK_CHARS of text."""
+    coder = vocabulary.coder()
+    for batch in batches:
+        texts = batch.column(batch.schema.names.index(text))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        start = 0
+        while start < len(texts):
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)
+            offsets = offsets[texts.offset + start : texts.offset + len(texts) + 1]
+            fit = int(np.searchsorted(offsets - offsets[0], CHUNK_CHARS, "right")) - 1
+            part = slice(start, start + max(1, fit))
+            values = coder.encode(texts[part].to_pylist())
+            yield _with_column(batch[part], ids, _integer_lists(values))
+            start = part.stop
+
+
+def decode_batches(
+    batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, ids: str, decoded: str
+) -> Iterator[pa.RecordBatch]:
+    """What ``decode`` does inside a task."""
+    coder = vocabulary.coder()
+    for batch in batches:
+        rows = (x.values for x in batch.column(batch.schema.names.index(ids)))
+        texts = [b"" if x is None else coder.decode(x.to_numpy()) for x in rows]
+        yield _with_column(batch, decoded, pa.array(texts, pa.binary()))
+
+
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
@@ -256,29 +287,9 @@ def encode(
     No special tokens are recognised. A null or empty text has no tokens; a column that already has
     the name ``ids`` is replaced; other columns, their nulls and repeated rows stay as they are.
     """
-    kept = [c for c in docs.columns if c != ids]
-    schema = StructType([*(docs.schema[c] for c in kept)]).add(ids, ArrayType(IntegerType()))
-
-    def run(batches):
-        coder = vocabulary.coder()
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index(text))
-            texts = texts.cast(pa.large_string()).fill_null("")
-            start = 0
-            while start < len(texts):  # as many rows as CHUNK_CHARS holds, one at least
-                sizes = np.diff(_offsets(texts))[start:]
-                stop = start + max(1, int(np.searchsorted(np.cumsum(sizes), CHUNK_CHARS)))
-                part = texts.slice(start, stop - start)
-                values = _integer_lists(coder.encode(part.to_pylist()))
-                yield _with_column(batch.slice(start, stop - start), ids, values)
-                start = stop
-
-    return docs.select(*kept).mapInArrow(run, schema)
-
-
-def _offsets(strings: pa.Array) -> np.ndarray:
-    raw = np.frombuffer(strings.buffers()[1], np.int64)
-    return raw[strings.offset : strings.offset + len(strings) + 1]
+    kept = [docs.schema[c] for c in docs.columns if c != ids]
+    schema = StructType([*kept]).add(ids, ArrayType(IntegerType()))
+    return docs.mapInArrow(lambda b: encode_batches(b, vocabulary, text, ids), schema)
 
 
 def decode(
@@ -288,15 +299,6 @@ def decode(
 
     An id outside the vocabulary is an error. Bytes, not text: ids need not form whole characters.
     """
-    kept = [c for c in docs.columns if c != decoded]
-    schema = StructType([*(docs.schema[c] for c in kept)]).add(decoded, BinaryType())
-
-    def run(batches):
-        coder = vocabulary.coder()
-        for batch in batches:
-            lists = batch.column(batch.schema.names.index(ids))
-            rows = (x.values for x in lists)
-            texts = [b"" if x is None else coder.decode(x.to_numpy()) for x in rows]
-            yield _with_column(batch, decoded, pa.array(texts, pa.binary()))
-
-    return docs.select(*kept).mapInArrow(run, schema)
+    kept = [docs.schema[c] for c in docs.columns if c != decoded]
+    schema = StructType([*kept]).add(decoded, BinaryType())
+    return docs.mapInArrow(lambda b: decode_batches(b, vocabulary, ids, decoded), schema)
