@@ -16,13 +16,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH terms AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-           CAST(list_sum(list_transform(list_zip(q.t, c.t), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.t, c.t), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM terms q JOIN terms c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 100 = 0
 ), ranked AS (

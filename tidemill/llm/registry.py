@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.queries import op3, op4, op6
+from tidemill.llm.queries import op3, op4, op6, op8, op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,8 @@ MODULES = {
     "op3_byte_bpe": op3,
     "op4_token_files": op4,
     "op6_top_k_search": op6,
+    "op8_url_filter": op8,
+    "op10_language_id": op10,
 }
 
 
