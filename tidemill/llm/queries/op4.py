@@ -5,17 +5,9 @@ import zlib
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from tidemill.llm.common import Workspace, table
-from tidemill.llm.token_files import read_token_files, write_token_files
-
-
-@F.arrow_udf(LongType())
-def packed_crc32(ids: pa.Array) -> pa.Array:
-    """CRC-32 of each list of ids as little-endian unsigned 32-bit integers."""
-    return pa.array([zlib.crc32(x.values.to_numpy().astype("<u4")) for x in ids], pa.int64())
+from tidemill.llm.token_files import files_in_order, read_batches, write_token_files
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +15,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = public_tokenizers.path("word_bpe_49k.json")
     manifest = write_token_files(docs, path, Workspace(spark))
-    documents = read_token_files(spark, manifest)
-    return documents.select("doc_id", "start", "n_tokens", packed_crc32("ids").alias("ids_crc32"))
+
+    def run(batches):
+        for batch in read_batches(batches):
+            ids = (x.values.to_numpy().astype("<u4") for x in batch.column("ids"))
+            sums = pa.array(map(zlib.crc32, ids), pa.int64())
+            columns = [batch.column(c) for c in ("doc_id", "start", "n_tokens")]
+            names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+            yield pa.RecordBatch.from_arrays([*columns, sums], names)
+
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return files_in_order(manifest).mapInArrow(run, schema)

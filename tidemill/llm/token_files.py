@@ -13,6 +13,7 @@ succeeded, so a repeated or lost task leaves at most files that nobody reads.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -20,27 +21,33 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemill.llm.common import Workspace
 
+# A task uses one core; the tokenizers library would start a thread for every core.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 SEQUENCE = 2048
 BATCH_ROWS = 64
-CHUNK_CHARS = 2_000_000
-# Pieces kept per Python worker before the table of known pieces starts anew.
-KNOWN_PIECES = 600_000
+# Bytes of text encoded at once, as far as whole texts allow.
+CHUNK_BYTES = 8_000_000
+# Words kept per Python worker before the table of known words starts anew.
+KNOWN_WORDS = 400_000
+# New words that go through the tokenizer as one text.
+JOINED_WORDS = 256
 
 MANIFEST = "part int, folder string, file string, documents long, tokens long"
 
-# Texts in these characters alone are lower-cased here as the tokenizer would: no control or
-# combining characters, no final sigma, no dotted capital I, no later scripts.
-_COMPLEX = re.compile("[\x00-\x08\x0e-\x1fİ̀-ͯΣ҃-҉֐-\U0010ffff]")
-_SIGNS = re.compile(r"(?:[^\w\s]|_){2}")
+# Texts without these are lower-cased here as the tokenizer would and split at any white space: no
+# control or combining characters, no final sigma, no dotted capital I, no later scripts.
+_COMPLEX = "[\x00-\x08\x0e-\x1f\u0130\u0300-\u036f\u03a3\u0483-\u0489\u0590-\U0010ffff]"
 _ASCII_SPACE = re.compile("[ \t\n\r\f\v]+")
 
 
@@ -48,43 +55,82 @@ _ASCII_SPACE = re.compile("[ \t\n\r\f\v]+")
 
 
 class WordTokenizer:
-    """A tokenizers file whose pre-tokenizer drops white space: pieces between white space do not
-    touch each other, so each different piece is encoded once and looked up from then on."""
+    """A tokenizers file whose pre-tokenizer drops white space: words between white space do not
+    touch each other, so each different word is encoded once and looked up from then on."""
 
     def __init__(self, content: str, end_id: int):
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        size = max(*vocabulary.values(), end_id) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.end = np.array([end_id], self.dtype).tobytes()
+        self.end_id = end_id
+        # Every run of letters ends in a token with the end-of-word mark.
+        mark = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(size, bool)
+        if mark:
+            self.ends_word[[n for token, n in vocabulary.items() if token.endswith(mark)]] = True
         self.known: dict[str, bytes] = {}
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if _COMPLEX.search(text):
-            return [piece for piece in _ASCII_SPACE.split(text) if piece]
-        text = text.lower()
-        if not _SIGNS.search(text):  # a sign between a word and white space is a token of its own
-            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
-        return text.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of every text, the end id last."""
-        cut = list(map(self.pieces, texts))
-        new = set().union(*cut)
-        if len(self.known) > KNOWN_PIECES:
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not met before. Words of letters only are one run each, so many of them can
+        be encoded as one text and told apart by the mark."""
+        # A sign after letters is a token of its own, so such a word is made of two shorter ones.
+        ended = [w for w in words if w[-1] in ".," and w[:-1].isalpha()]
+        stems = {w[:-1] for w in ended} | {w[-1] for w in ended}
+        plain = [w for w in words if w.isalpha()]
+        plain += [w for w in stems - self.known.keys() - set(plain) if w.isalpha()]
+        chunks = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
+        encoded = self.tokenizer.encode_batch_fast(list(map(" ".join, chunks)), False, False)
+        size = self.dtype.itemsize
+        for chunk, result in zip(chunks, encoded):
+            ids = np.array(result.ids, self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(chunk):  # else a word has other characters once normalised
+                packed, stops = ids.tobytes(), (ends * size).tolist()
+                cuts = map(slice, [0, *stops], stops)
+                self.known.update(zip(chunk, map(packed.__getitem__, cuts)))
+        later = [w for w in {*words, *stems}.difference(ended) if w not in self.known]
+        encoded = self.tokenizer.encode_batch_fast(later, False, False)
+        self.known.update((w, self._pack(e.ids)) for w, e in zip(later, encoded))
+        self.known.update((w, self.known[w[:-1]] + self.known[w[-1]]) for w in ended)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each with the end id last, and how many each has."""
+        complex_ = pc.match_substring_regex(texts, _COMPLEX).to_numpy(zero_copy_only=False)
+        simple = pc.if_else(pa.array(complex_), "", texts)
+        split = pc.utf8_split_whitespace(pc.utf8_lower(simple))
+        words, counts = split.flatten(), np.diff(split.offsets.to_numpy())
+        if complex_.any():  # these are split at ASCII white space, letters as they are
+            own = [_ASCII_SPACE.split(t) for t in texts.filter(pa.array(complex_)).to_pylist()]
+            lists = np.split(np.arange(len(words)), np.cumsum(counts)[:-1])
+            extra = pa.array([w for ws in own for w in ws], pa.large_string())
+            ends = len(words) + np.cumsum([len(ws) for ws in own])
+            for row, begin, end in zip(np.flatnonzero(complex_), [len(words), *ends], ends):
+                lists[row] = np.arange(begin, end)
+            counts = np.array(list(map(len, lists)))
+            words = pa.concat_arrays([words, extra]).take(pa.array(np.concatenate(lists)))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list(new - self.known.keys())
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        ends = np.cumsum([len(i) for i in ids], dtype=np.int64) * self.dtype.itemsize
-        packed = np.fromiter((t for i in ids for t in i), self.dtype).tobytes()
-        begin = 0
-        for piece, end in zip(new, ends.tolist()):
-            self.known[piece] = packed[begin:end]
-            begin = end
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) + self.end for pieces in cut]
+        self._learn([w for w in distinct if w and w not in self.known])
+        self.known[""] = b""
+        packed = [*map(self.known.__getitem__, distinct), self._pack([self.end_id])]
+        sizes = np.fromiter(map(len, packed), np.int32, len(packed)) // self.dtype.itemsize
+        pool = np.frombuffer(b"".join(packed), self.dtype)
+        stops = np.cumsum(counts)
+        codes = np.insert(coded.indices.to_numpy(), stops, len(distinct))
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        # Where each id is in the pool: its word's place there, counted on from the word's first id.
+        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - lengths)
+        places = np.repeat(shift.astype(np.int32), lengths)
+        places += np.arange(len(places), dtype=np.int32)
+        return pool.take(places), np.diff(ends[stops + np.arange(len(stops))], prepend=0)
 
 
 _ready: dict[tuple[int, int], WordTokenizer] = {}
@@ -130,21 +176,20 @@ class _Writer:
             pa.ipc.new_file(sink, schema)
             for sink, schema in zip(self.sinks, (self.schema, self.documents))
         ]
-        self.rest, self.tokens, self.rows = b"", 0, 0
+        self.rest, self.tokens, self.rows = np.zeros(0, dtype), 0, 0
 
-    def add(self, doc_ids: pa.Array, packed: list[bytes]) -> None:
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         starts = self.tokens + np.cumsum(sizes) - sizes
         self.tokens += int(sizes.sum())
-        self.rows += len(packed)
+        self.rows += len(sizes)
         columns = [doc_ids, pa.array(starts), pa.array(sizes)]
         self.files[1].write_batch(pa.RecordBatch.from_arrays(columns, schema=self.documents))
-        ids = np.frombuffer(b"".join([self.rest, *packed]), self.dtype)
+        ids = np.concatenate([self.rest, ids])
         step = self.sequence * BATCH_ROWS
         whole = len(ids) // step * step
         for begin in range(0, whole, step):
             self._write(ids[begin : begin + step], step)
-        self.rest = ids[whole:].tobytes()
+        self.rest = ids[whole:].copy()
 
     def _write(self, ids: np.ndarray, real: int) -> None:
         mask = pa.array(np.arange(len(ids)) < real)
@@ -155,7 +200,7 @@ class _Writer:
         self.files[0].write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
 
     def close(self) -> None:
-        ids = np.frombuffer(self.rest, self.dtype)
+        ids = self.rest
         if len(ids):
             room = -(-len(ids) // self.sequence) * self.sequence
             self._write(np.pad(ids, (0, room - len(ids))), len(ids))
@@ -235,7 +280,7 @@ def write_token_files(
                 stop = _chunk_end(texts, start)
                 writer = writer or _Writer(folder, name := _name(part), coder.dtype, sequence)
                 ids = batch.column(0).slice(start, stop - start)
-                writer.add(ids, coder.encode(texts.slice(start, stop - start).to_pylist()))
+                writer.add(ids, *coder.encode(texts.slice(start, stop - start)))
                 start = stop
         if writer:
             writer.close()
@@ -255,34 +300,40 @@ def _name(part: int) -> str:
 
 
 def _chunk_end(texts: pa.Array, start: int) -> int:
-    """Where the rows from ``start`` reach CHUNK_CHARS bytes; one row at least."""
+    """Where the rows from ``start`` reach CHUNK_BYTES; one row at least."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)
     offsets = offsets[texts.offset + start : texts.offset + len(texts) + 1]
-    return start + max(1, int(np.searchsorted(offsets - offsets[0], CHUNK_CHARS, "right")) - 1)
-
-
-def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """doc_id, start (position in the whole corpus), n_tokens and ids of every document."""
+    return start + max(1, int(np.searchsorted(offsets - offsets[0], CHUNK_BYTES, "right")) - 1)
+
+
+def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``read_token_files`` does inside a task, for rows of folder, file and offset."""
+    for batch in batches:
+        for file in batch.to_pylist():
+            token_file = TokenFile(file["folder"], file["file"])
+            for k in range(token_file.documents.num_record_batches):
+                found = token_file.documents.get_batch(k)
+                starts, sizes = (found.column(c).to_numpy() for c in ("start", "n_tokens"))
+                ends = np.append(starts, starts[-1] + sizes[-1])
+                ids = token_file.span(int(ends[0]), int(ends[-1])).astype(np.int32)
+                columns = {
+                    "doc_id": found.column("doc_id"),
+                    "start": pa.array(starts + file["offset"]),
+                    "n_tokens": found.column("n_tokens"),
+                    "ids": pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), ids),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+
+def files_in_order(manifest: DataFrame) -> DataFrame:
+    """Folder, file and offset (tokens in all files before it) of the files, a task for each."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("offset", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     files = files.repartitionByRange(max(1, manifest.count()), "part")
+    return files.select("folder", "file", "offset")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file in batch.to_pylist():
-                token_file = TokenFile(file["folder"], file["file"])
-                for k in range(token_file.documents.num_record_batches):
-                    found = token_file.documents.get_batch(k)
-                    starts = found.column("start").to_numpy()
-                    sizes = found.column("n_tokens").to_numpy()
-                    begin = int(starts[0])
-                    span = token_file.span(begin, int(starts[-1] + sizes[-1]))
-                    ends = pa.array(np.append(starts, starts[-1] + sizes[-1]) - begin, pa.int32())
-                    ids = pa.ListArray.from_arrays(ends, pa.array(span.astype(np.int32)))
-                    starts = pa.array(starts + file["offset"])
-                    columns = [found.column("doc_id"), starts, found.column("n_tokens"), ids]
-                    names = ["doc_id", "start", "n_tokens", "ids"]
-                    yield pa.RecordBatch.from_arrays(columns, names)
 
+def read_token_files(manifest: DataFrame) -> DataFrame:
+    """doc_id, start (position in the whole corpus), n_tokens and ids of every document."""
     schema = "doc_id long, start long, n_tokens long, ids array<int>"
-    return files.select("folder", "file", "offset").mapInArrow(run, schema)
+    return files_in_order(manifest).mapInArrow(read_batches, schema)
