@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.queries import op1, op3, op4, op6, op8, op10
+from tidemill.llm.queries import op1, op2, op3, op4, op6, op8, op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 MODULES = {
     "op1_quality_rules": op1,
+    "op2_line_dedup": op2,
     "op3_byte_bpe": op3,
     "op4_token_files": op4,
     "op6_top_k_search": op6,
