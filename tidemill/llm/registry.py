@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.queries import op1, op2, op3, op4, op6, op8, op10
+from tidemill.llm.queries import op1, op2, op3, op4, op6, op7, op8, op9, op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +20,9 @@ MODULES = {
     "op3_byte_bpe": op3,
     "op4_token_files": op4,
     "op6_top_k_search": op6,
+    "op7_mixing": op7,
     "op8_url_filter": op8,
+    "op9_token_counts": op9,
     "op10_language_id": op10,
 }
 
