@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.queries import op1, op2, op3, op4, op6, op7, op8, op9, op10
+from tidemill.llm.queries import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ MODULES = {
     "op2_line_dedup": op2,
     "op3_byte_bpe": op3,
     "op4_token_files": op4,
+    "op5_ngram_jaccard": op5,
     "op6_top_k_search": op6,
     "op7_mixing": op7,
     "op8_url_filter": op8,
