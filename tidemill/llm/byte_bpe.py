@@ -16,9 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructType
 
 NEVER = np.int32(2**31 - 1)
 # Matches longer than this are merged with a priority queue: matrix rounds cost the square of length.
@@ -302,3 +303,22 @@ def decode(
     kept = [docs.schema[c] for c in docs.columns if c != decoded]
     schema = StructType([*kept]).add(decoded, BinaryType())
     return docs.mapInArrow(lambda b: decode_batches(b, vocabulary, ids, decoded), schema)
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids"
+) -> DataFrame:
+    """``docs`` with ``ids`` and ``intact``: whether decoding the ids gives the text's bytes."""
+    kept = [docs.schema[c] for c in docs.columns if c not in (ids, "intact")]
+    schema = StructType([*kept]).add(ids, ArrayType(IntegerType())).add("intact", BooleanType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoded = encode_batches(batches, vocabulary, text, ids)
+        for batch in decode_batches(encoded, vocabulary, ids, "_decoded"):
+            names = batch.schema.names
+            texts = batch.column(names.index(text)).cast(pa.binary()).fill_null(b"")
+            intact = pc.equal(texts, batch.column(names.index("_decoded")))
+            columns = [batch.column(names.index(f.name)) for f in schema[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, intact], [f.name for f in schema])
+
+    return docs.mapInArrow(run, schema)

@@ -14,7 +14,7 @@ def connected(nodes: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
     ``links`` has pairs (a, b) of nodes. Stars are built by turns: every node that is larger than its
     smallest neighbour hands its neighbours on to that one, until each component is one star around
     its smallest node. The number of turns grows with the logarithm of a component's size.
-    Null labels count only where a component has no other.
+    A null label is larger than any other.
     """
     edges = work.keep(_downward(links.where("a <> b")), "edges")
     while not edges.isEmpty():

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import Workspace
@@ -134,3 +134,10 @@ def mix(
         probability.alias("probability"),
         (uniform(F.col(f"doc.{id_column}")) < probability).alias("sampled"),
     )
+
+
+def with_topic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the topic that their embedding, if there is one, is labelled with."""
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    topics = embeddings.groupBy(F.col("vec_id").alias("doc_id")).agg(F.min("label").alias("topic"))
+    return docs.join(topics.hint("merge"), "doc_id", "left")  # one plan whatever the size

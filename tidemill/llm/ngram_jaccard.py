@@ -369,7 +369,9 @@ def similar_components(
     words: int = 3,
     percent: int = 90,
 ) -> DataFrame:
-    """_id, n_shingles and component_id (the smallest id reachable by links) of each row of ``docs``.
+    """For each row of ``docs``: _id, _hash (of the text), n_shingles, component_id (the smallest id
+    reachable by links), and first (whether id and text are those of the component's first document;
+    true for a document without n-grams).
 
     Two documents link if 100 * intersection >= percent * union of their sets of n-grams of words;
     ``percent`` is 75 or more. Words are compared by 64-bit hashes.
@@ -389,8 +391,7 @@ def similar_components(
     )
     members = work.keep(signatures(docs, words, percent), "signatures")
     groups = members.where("n > 0").groupBy("digest").agg(
-        F.min(F.struct("_id", "_hash")).alias("rep"),
-        F.min("_id").alias("least"),
+        F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")).alias("rep"),
         F.count(F.lit(1)).alias("copies"),
         F.first("n").alias("n"),
         F.first("head").alias("head"),
@@ -401,12 +402,19 @@ def similar_components(
     alone = -(-percent // (100 - percent))
     large = nodes.where(F.col("n") >= alone)
     links = work.keep(links_between(docs, large, work, words, percent), "links")
-    labels = connected(nodes.select("node", F.col("least").alias("label")), links, work)
+    labels = connected(nodes.select("node", F.col("rep").alias("label")), links, work)
     found = nodes.select("node", "digest").join(labels, "node").select("digest", "label")
-    own = members.select("_id", "digest", F.col("n").alias("n_shingles"))
+    own = members.select("_id", "_hash", "digest", F.col("n").alias("n_shingles"))
     joined = own.join(found, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("_id"))
-    return joined.select("_id", "n_shingles", component.alias("component_id"))
+    empty = F.col("n_shingles") == 0
+    leads = F.col("_id").eqNullSafe(F.col("label._id")) & (F.col("_hash") == F.col("label._hash"))
+    return joined.select(
+        "_id",
+        "_hash",
+        "n_shingles",
+        F.when(empty, F.col("_id")).otherwise(F.col("label._id")).alias("component_id"),
+        (empty | leads).alias("first"),
+    )
 
 
 def links_between(

@@ -37,6 +37,11 @@ def spaced(text: Column) -> Column:
     return text
 
 
+def n_words(text: str = "text") -> Column:
+    """The number of words ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
+    return F.size(F.array_remove(F.split(spaced(F.col(text)), " "), "")).cast("long")
+
+
 def without(text: Column, characters: str) -> Column:
     for character in characters:
         text = F.replace(text, F.lit(character), F.lit(""))

@@ -1,27 +1,16 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import Workspace, table
-from tidemill.llm.mixing import ITERATIONS, Tempered, mix
-from tidemill.llm.quality import spaced
+from tidemill.llm.mixing import ITERATIONS, Tempered, mix, with_topic
+from tidemill.llm.quality import n_words
 
 # Rare sources, languages and topics gain weight, the less the finer the dimension.
 TARGETS = {"source": Tempered(0.7), "lang": Tempered(0.8), "topic": Tempered(0.9)}
 
 
-def n_words(text: str = "text") -> Column:
-    return F.size(F.array_remove(F.split(spaced(F.col(text)), " "), "")).cast("long")
-
-
-def with_topic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the topic that their embedding, if there is one, is labelled with."""
-    embeddings = table(spark, sf_dir, "embeddings")
-    topics = embeddings.groupBy(F.col("vec_id").alias("doc_id")).agg(F.min("label").alias("topic"))
-    return docs.join(topics, "doc_id", "left")
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their sampling probability, and the sample."""
     docs = table(spark, sf_dir, "documents")

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from tidemill.llm.common import importable
 from tidemill.llm.queries import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ROOT = str(Path(__file__).resolve().parents[2])
-
 MODULES = {
     "op1_quality_rules": op1,
     "op2_line_dedup": op2,
@@ -28,14 +26,6 @@ MODULES = {
 }
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import the package from this checkout where it is not installed."""
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, *paths) if p)
-
-
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
@@ -45,8 +35,10 @@ def _ready(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _ready(module.query) for name, module in MODULES.items()}
+    own = {name: _ready(module.query) for name, module in MODULES.items()}
+    return {**own, "pipeline": _ready(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: module.SQL for name, module in MODULES.items() if hasattr(module, "SQL")}
+    own = {name: module.SQL for name, module in MODULES.items() if hasattr(module, "SQL")}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
