@@ -134,7 +134,8 @@ def _with_suffixes(df: DataFrame, suffixes: DataFrame, rate: float) -> DataFrame
     return joined.fillna({"suffix_rate": rate, "suffix_urls": 0.0})
 
 
-_ASSEMBLER = VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="features")
+def _assembled(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="features").transform(df)
 
 
 def train(labelled: DataFrame, max_iter: int = 20, max_depth: int = 4) -> UrlModel:
@@ -156,7 +157,7 @@ def train(labelled: DataFrame, max_iter: int = 20, max_depth: int = 4) -> UrlMod
     share = min(1.0, MAX_LABELLED / totals["urls"])
     place = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < F.lit(share * (1 << 20))
     rows = _with_suffixes(labelled.where(place), suffixes, rate)
-    rows = _ASSEMBLER.transform(rows).select("features", F.col("blocked").cast("double").alias("label"))
+    rows = _assembled(rows).select("features", F.col("blocked").cast("double").alias("label"))
     trees = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, seed=7, cacheNodeIds=False)
     return UrlModel(trees.fit(rows), suffixes, rate)
 
@@ -165,7 +166,7 @@ def block_probability(df: DataFrame, model: UrlModel) -> DataFrame:
     """``df``, with the features of ``with_features``, plus ``block_probability``."""
     if model.trees is None:
         return df.withColumn("block_probability", F.lit(0.0))
-    rows = _ASSEMBLER.transform(_with_suffixes(df, model.suffixes, model.rate))
+    rows = _assembled(_with_suffixes(df, model.suffixes, model.rate))
     scored = model.trees.transform(rows)
     return scored.withColumn("block_probability", vector_to_array("probability")[1])
 
