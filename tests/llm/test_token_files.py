@@ -1,0 +1,130 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+import public_tokenizers
+from tidemill.llm.separator_scan import count_tokens, write_flat_files
+from tidemill.llm.token_files import TokenFile, WordTokenizer, read_token_files, write_token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [None, "", " ", "don't. x's, y'. z_, _. a__b.", "İstanbul ΣΑΣ. Σ", "À a. ́b"]
+TEXTS += ["<|endoftext|> x", "K² ¼. 12,3. 4", "日本語。 x", "a\x1cb. c\x85d\xa0e", "x... y.. z. "]
+TEXTS += ["word " * 5000, "one two. three, four.\nfive", "one two. three, four.\nfive"]
+SCHEMA = "doc_id long, text string, start string, ids string"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def plain(tokenizer, text, end):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
+
+
+def test_pieces_encode_like_whole_texts(tokenizer):
+    with open(PATH, encoding="utf-8") as file:
+        own = WordTokenizer(file.read(), 1)
+    random = np.random.default_rng(1)
+    letters = list("aB \n.,'_é́Σ漢1!st ")
+    texts = ["".join(random.choice(letters, random.integers(0, 60))) for _ in range(2000)]
+    ids, sizes = own.encode(pa.array(texts, pa.large_string()))
+    ends = np.cumsum(sizes)
+    for text, end, size in zip(texts, ends, sizes):
+        assert ids[end - size : end].tolist() == plain(tokenizer, text, 1)
+
+
+def test_files_give_back_what_was_written(spark, work, tokenizer):
+    rows = [(10 - n, t) for n, t in enumerate(TEXTS)] + [(None, "no id")]
+    manifest = write_token_files(docs_of(spark, rows), PATH, work, sequence=16)
+    found = read_token_files(manifest).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i))
+    place = 0
+    for row in found:
+        text = dict(rows)[row.doc_id]
+        assert row.ids == plain(tokenizer, text, 1)
+        assert (row.start, row.n_tokens) == (place, len(row.ids))
+        place += len(row.ids)
+
+
+def test_sequences_are_views_of_equal_length(spark, work):
+    manifest = write_token_files(docs_of(spark, [(1, "word " * 3000)]), PATH, work, sequence=16)
+    row = manifest.first()
+    file = TokenFile(row.folder, row.file)
+    ids, mask = file.sequence(100)
+    assert len(ids) == len(mask) == 16 and not ids.flags.owndata
+    last, mask = file.sequence((row.tokens - 1) // 16)
+    assert sum(m.as_py() for m in mask) == (row.tokens - 1) % 16 + 1
+    with pytest.raises(ValueError):
+        file.span(0, row.tokens + 1)
+
+
+def test_repeated_ids_and_no_rows(spark, work, tokenizer):
+    rows = [(1, "a b"), (1, "a b"), (1, "c")]
+    manifest = write_token_files(docs_of(spark, rows), PATH, work)
+    assert read_token_files(manifest).count() == 3
+    empty = write_token_files(docs_of(spark, []), PATH, work)
+    assert read_token_files(empty).collect() == []
+
+
+# --- separator scan ------------------------------------------------------------------------------
+
+
+def scan(spark, work, tmp_path, files, monkeypatch, block=8):
+    monkeypatch.setattr("tidemill.llm.separator_scan.BLOCK_BYTES", block)
+    rows = []
+    for n, ids in enumerate(files):
+        data = np.array(ids, "<u2").tobytes()
+        (tmp_path / f"{n}.tokens").write_bytes(data)
+        rows.append((f"{tmp_path}/{n}.tokens", len(data), "x"))
+    table = spark.createDataFrame(rows, "path string, bytes long, place string")
+    found = count_tokens(table, 9, "<u2", work).collect()
+    number = {row[0]: n for n, row in enumerate(rows)}
+    return sorted((number[r.path], r.place, r.start, r.n_tokens, r.closed) for r in found)
+
+
+def brute(files):
+    out = []
+    for n, ids in enumerate(files):
+        start = place = 0
+        for end in [i for i, t in enumerate(ids) if t == 9]:
+            out.append((n, place, start, end - start, True))
+            start, place = end + 1, place + 1
+        if start < len(ids):
+            out.append((n, place, start, len(ids) - start, False))
+    return out
+
+
+def test_documents_across_blocks(spark, work, tmp_path, monkeypatch):
+    random = np.random.default_rng(2)
+    files = [random.integers(0, 10, size).tolist() for size in (1, 3, 4, 100, 257)]
+    files += [[9], [9, 9, 9], [], [1] * 50, [1] * 30 + [9] + [2] * 30, [9] + [3] * 20 + [9]]
+    assert scan(spark, work, tmp_path, files, monkeypatch) == brute(files)
+
+
+def test_broken_file_and_no_files(spark, work, tmp_path, monkeypatch):
+    assert scan(spark, work, tmp_path, [], monkeypatch) == []
+    (tmp_path / "odd").write_bytes(b"abc")
+    table = spark.createDataFrame([(f"{tmp_path}/odd", 3)], "path string, bytes long")
+    with pytest.raises(Exception, match="ends within a token"):
+        count_tokens(table, 9, "<u2", work).collect()
+
+
+def test_flat_files_of_documents(spark, work, tokenizer):
+    rows = [(n, t) for n, t in enumerate(TEXTS)] + [(None, "no id")]
+    written = write_flat_files(docs_of(spark, rows), PATH, 49407, work)
+    files = written.select("path", "bytes").distinct()
+    counts = count_tokens(files, 49407, "<u2", work)
+    found = written.join(counts, ["path", "place"]).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row.n_tokens == len(plain(tokenizer, dict(rows)[row.doc_id], 0)) - 1
+    nothing = write_flat_files(docs_of(spark, []), PATH, 49407, work)
+    assert nothing.collect() == []

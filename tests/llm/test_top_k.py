@@ -1,0 +1,54 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemill.llm.top_k import best, top_k_search
+
+SCHEMA = "vec_id long, embedding array<float>, score string, block int"
+
+
+def search(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, "other", 0) for i, v in rows], SCHEMA)
+    found = top_k_search(df, F.col("vec_id") % 100 == 0, **options)
+    return sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect())
+
+
+def brute(rows, k):
+    usable = [
+        (i, [int(np.floor(1024 * float(np.float32(x)))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = set()
+    for q, a in usable:
+        if q % 100 == 0:
+            scored = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in usable if i != q]
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])}
+    return sorted(out)
+
+
+def test_against_brute_force_over_many_blocks(spark, work):
+    random = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in random.normal(0, 0.2, 8)]) for i in range(450)]
+    rows = [(i, [x if abs(x) > 0.1 else 0.0 for x in v]) for i, v in rows]
+    assert search(spark, rows, k=10, block_rows=64) == brute(rows, 10)
+
+
+def test_ties_nulls_and_odd_vectors(spark, work):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, -0.5]), (9, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [nan, 0.0]), (5, [inf, 0.0])]
+    rows += [(6, None), (7, [None, 1.0]), (None, [1.0, 1.0]), (8, []), (100, [0.0, 0.0])]
+    assert search(spark, rows, k=10) == brute(rows, 10)
+
+
+def test_repeated_rows_fill_ranks(spark, work):
+    rows = [(0, [1.0])] + [(1, [1.0])] * 3 + [(2, [1.0])]
+    ranks = [(r[1], r[2]) for r in search(spark, rows, k=10)]
+    assert ranks == [(1, 1), (2, 1), (3, 1), (4, 2)]
+
+
+def test_empty_table(spark, work):
+    assert search(spark, []) == []
+
+
+def test_best_takes_the_first_of_equal_scores():
+    assert sorted(best(np.array([5, 7, 5, 5, 9]), 3)) == [0, 1, 4]
