@@ -173,7 +173,8 @@ def dedup_lines(
     places = F.flatten(F.collect_list(F.sequence("first", "last"))).alias("deleted")
     deleted = work.keep(spans.groupBy("_row").agg(places), "deleted")
     split = F.split("_text", "\n")
-    joined = kept.join(deleted, "_row", "left").withColumn("_lines", split)
+    # One plan whatever the size: a join that is broadcast on small inputs only says little.
+    joined = kept.join(deleted.hint("merge"), "_row", "left").withColumn("_lines", split)
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "deleted")
     left = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
     columns = [
