@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm.common import table
+from tidemill.llm.common import Workspace, table
 from tidemill.llm.url_filter import ALLOW, BLOCK, Rule, filter_urls
 
 RULES = [
@@ -16,6 +16,6 @@ RULES = [
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL. The verdicts of the rules are the labels the trees are trained from."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return filter_urls(pages, RULES).select(
+    return filter_urls(pages, RULES, Workspace(spark)).select(
         "page_id", "host", "path", "rule", "verdict", "block_probability"
     )

@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import Workspace
+
 BLOCK, ALLOW = "block", "allow"
 
 # Suffix statistics are kept by hash bucket, so their table has at most this many rows.
@@ -138,9 +140,13 @@ def _assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="features").transform(df)
 
 
-def train(labelled: DataFrame, max_iter: int = 20, max_depth: int = 4) -> UrlModel:
+def train(
+    labelled: DataFrame, work: Workspace, max_iter: int = 20, max_depth: int = 4
+) -> UrlModel:
     """Fit the trees on ``labelled``, which has the features of ``with_features``, a column ``url``
-    and a boolean ``blocked``. Without any labelled URL nothing is learnt and nothing blocked."""
+    and a boolean ``blocked``. Without any labelled URL nothing is learnt and nothing blocked.
+
+    The bounded sample is written once, as every level of every tree reads it."""
     totals = labelled.agg(
         F.count(F.lit(1)).alias("urls"), F.count_if("blocked").alias("blocked")
     ).first()
@@ -158,6 +164,7 @@ def train(labelled: DataFrame, max_iter: int = 20, max_depth: int = 4) -> UrlMod
     place = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < F.lit(share * (1 << 20))
     rows = _with_suffixes(labelled.where(place), suffixes, rate)
     rows = _assembled(rows).select("features", F.col("blocked").cast("double").alias("label"))
+    rows = work.keep(rows, "labelled-urls")
     trees = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, seed=7, cacheNodeIds=False)
     return UrlModel(trees.fit(rows), suffixes, rate)
 
@@ -172,7 +179,11 @@ def block_probability(df: DataFrame, model: UrlModel) -> DataFrame:
 
 
 def filter_urls(
-    pages: DataFrame, rules: list[Rule], url: str = "url", threshold: float = 0.5
+    pages: DataFrame,
+    rules: list[Rule],
+    work: Workspace,
+    url: str = "url",
+    threshold: float = 0.5,
 ) -> DataFrame:
     """``pages`` with host, path, rule, block_probability and verdict of every URL.
 
@@ -192,7 +203,7 @@ def filter_urls(
     featured = with_features(base, "url", "host", "path")
     ruling = _pick(F.col("fits"), [r.verdict for r in rules])
     labelled = featured.where(F.col("fits").isNotNull()).withColumn("blocked", ruling == BLOCK)
-    model = train(labelled.drop("page"))
+    model = train(labelled.drop("page"), work)
     judged = F.when(F.col("block_probability") >= threshold, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return block_probability(featured, model).select(
         "page.*",
