@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from tidemill.llm.common import text_bytes
+from tidemill.llm.common import Workspace, text_bytes
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -137,25 +137,33 @@ def cut_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return flat.reshape(-1, WINDOW), rows, np.minimum(sizes[rows] - place * WINDOW, WINDOW)
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> ByteCnn | None:
+def train(
+    labelled: DataFrame, work: Workspace, text: str = "text", lang: str = "lang"
+) -> ByteCnn | None:
     """A network for the languages of ``labelled``; None where no text has a language.
 
     Rows with a null text or language do not count. The network is fitted on a bounded sample, see
     ``DOCS_PER_LANGUAGE`` and ``WINDOWS_PER_DOC``, so its size does not grow with the table.
     """
-    key = F.xxhash64(text)
-    first = Window.partitionBy("lang").orderBy("key", "text")
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & has_letter(F.col(text)))
-    rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), key.alias("key"))
-    sample = rows.withColumn("n", F.row_number().over(first)).where(
-        F.col("n") <= DOCS_PER_LANGUAGE
-    )
+    rows = labelled.where(
+        F.col(text).isNotNull() & F.col(lang).isNotNull() & has_letter(F.col(text))
+    ).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    # A share of each language by hash first, so that what is ranked does not grow with the table.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    key, place = F.xxhash64("text"), F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 30))
+    share = F.lit(4 * DOCS_PER_LANGUAGE * (1 << 30)) / F.col("docs")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     windows = [
-        F.substring("text", (F.pmod(F.xxhash64("key", F.lit(k)), room) + 1).cast("int"), F.lit(WINDOW))
+        F.substring("text", (F.pmod(F.xxhash64("text", F.lit(k)), room) + 1).cast("int"), F.lit(WINDOW))
         for k in range(WINDOWS_PER_DOC)
     ]
-    found = sample.select("lang", "key", F.explode(F.array(*windows)).alias("part")).distinct()
+    some = rows.join(work.keep(counts, "languages"), "lang").where(place < share)
+    some = some.select("lang", key.alias("key"), F.array(*windows).alias("parts")).distinct()
+    first = Window.partitionBy("lang").orderBy("key", "parts")
+    sample = some.withColumn("n", F.row_number().over(first)).where(
+        F.col("n") <= DOCS_PER_LANGUAGE
+    )
+    found = sample.select("lang", "key", F.explode("parts").alias("part")).distinct()
     found = sorted((r.lang, r.key, r.part) for r in found.collect())
     if not found:
         return None

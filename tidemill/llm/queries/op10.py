@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import table
+from tidemill.llm.common import Workspace, table
 from tidemill.llm.language_id import identify, train
 
 
@@ -13,6 +13,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", F.coalesce(third == 1, F.lit(False)).alias("held_out")
     )
-    network = train(docs.where(third != 1))
+    network = train(docs.where(third != 1), Workspace(spark))
     judged = identify(docs.select("doc_id", "text", "held_out"), network)
     return judged.select("doc_id", "held_out", "lang_pred", "score")
