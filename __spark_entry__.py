@@ -30,12 +30,19 @@ from tidemill.contracts import (
     SUCCESS,
     Entity,
 )
-from tidemill.functions import cleaned, surrogate_key
+from tidemill.functions import (
+    cleaned,
+    discount_amount,
+    gross_amount,
+    net_amount,
+    surrogate_key,
+)
 from tidemill.operators.history import key_history, table_counts
-from tidemill.operators.latest import latest_per_key, newer_than, watermark
+from tidemill.operators.latest import current_state, latest_per_key, newer_than, watermark
 from tidemill.operators.ledger import (
     ingest_anomalies,
     ledger_report,
+    ledger_rows,
     load_summary,
     pending_files,
     rows_per_file,
@@ -59,7 +66,7 @@ from tidemill.plans.star import (
     sales_enriched,
 )
 from tidemill.session import work_dir, written
-from tidemill.sources.files import archive_path, classify_files
+from tidemill.sources.files import SchemaDrift, archive_path, classify_files
 from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append, committed_history, prepare
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -214,7 +221,7 @@ def lookup_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 def fact(spark: SparkSession, sf_dir: str, history: DataFrame) -> DataFrame:
     rows = enriched(spark, sf_dir, current_lines(history), history)
-    return fact_rows(rows, *lookup_dims(spark, sf_dir), history, orders_table(spark, sf_dir))
+    return fact_rows(rows, *lookup_dims(spark, sf_dir), history)
 
 
 def older_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,6 +336,7 @@ def q_fact_sales_watermark_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fact_sales_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fact(spark, sf_dir, older_history(spark, sf_dir))
+    target = written(target, f"{work_dir(spark)}/fact_sales")  # it is read for the delta as well
     return upsert(target, fact_delta(spark, sf_dir, target), "order_line_id")
 
 
@@ -528,15 +536,20 @@ def q_archive_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(landed, spark.read.schema(layout).parquet(path))
 
 
-def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive events by day, ingest the archive twice, and report what history and ledger hold."""
-    events = _table(spark, sf_dir, "events")
-    entity = Entity(source="web", table="events", key="event_id", schema=events.schema)
+def event_archive(
+    spark: SparkSession, events: DataFrame, entity: Entity
+) -> tuple[Lakehouse, str]:
+    """A lake that knows ``entity``, and an archive folder to write into."""
     root = work_dir(spark)
     lake = Lakehouse(location=f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
     prepare(spark, lake, (entity,))
+    return lake, f"{root}/archive"
+
+
+def archive_events(lake: Lakehouse, archive: str, entity: Entity, events: DataFrame) -> None:
+    """Events as archived files, one a day, with the log that archiving them leaves."""
     landed = with_layout(events)
-    write_archive(landed, archive_root(f"{root}/archive", entity))
+    write_archive(landed, archive_root(archive, entity))
     day = F.to_date(F.regexp_extract("file_name", FILE_NAME_PATTERN, 2), "yyyyMMdd")
     logged = landed.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows_archived"))
     values = {
@@ -546,6 +559,7 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_date": day,
         "load_type": F.lit("incremental"),
         "size_bytes": F.lit(None),
+        "file_schema": F.lit(events.schema.json()),
         "status": F.lit(SUCCESS),
         "message": F.lit(None),
         "batch_id": F.lit("landing"),
@@ -555,8 +569,16 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in ARCHIVE_LOG)
     )
     append(log, lake.archive_log)
+
+
+def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive events by day, ingest the archive twice, and report what history and ledger hold."""
+    events = _table(spark, sf_dir, "events")
+    entity = Entity(source="web", table="events", key="event_id", schema=events.schema)
+    lake, archive = event_archive(spark, events, entity)
+    archive_events(lake, archive, entity, events)
     for batch in ("first", "second"):
-        ingest_new_files(spark, lake, f"{root}/archive", entity, batch)
+        ingest_new_files(spark, lake, archive, entity, batch)
     history = committed_history(spark, lake, entity)
     held = history.groupBy(F.col("_source_file").alias("source_file"), "_batch_id").agg(
         F.count(F.lit(1)).alias("rows_held"),
@@ -571,6 +593,92 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of every other day have a column more. A strict run loads the plain ones and refuses the
+    others, a lenient one loads the rest; per file and batch what the ledger and history say."""
+    events = _table(spark, sf_dir, "events")
+    entity = Entity(source="web", table="events", key="event_id", schema=events.schema)
+    lake, archive = event_archive(spark, events, entity)
+    odd = F.dayofmonth("ts") % 2 == 1
+    archive_events(lake, archive, entity, events.where(~odd))
+    archive_events(
+        lake, archive, entity, events.where(odd).withColumn("channel", F.upper("event_type"))
+    )
+    try:
+        ingest_new_files(spark, lake, archive, entity, "strict")
+    except SchemaDrift:
+        pass  # raised once the plain files are in; the ledger has the reasons
+    ingest_new_files(spark, lake, archive, entity, "lenient", allow_new_columns=True)
+    held = (
+        committed_history(spark, lake, entity)
+        .groupBy(F.col("_source_file").alias("source_file"), F.col("_batch_id").alias("batch_id"))
+        .agg(F.count("channel").alias("with_channel"))
+    )
+    ledger = spark.table(lake.ledger)
+    return ledger.join(held, ["source_file", "batch_id"], "left").select(
+        "source_file",
+        F.col("batch_id").alias("batch"),
+        "status",
+        "rows_ingested",
+        "with_channel",
+        F.col("error_message").contains("unexpected column channel").alias("refused"),
+    )
+
+
+def q_current_state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as versions of their order: times tie all year, the later path wins, then the columns."""
+    history = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.concat(F.lit(" "), F.col("l_returnflag"), F.lit(" ")).alias("flag"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.date_trunc("year", F.col("l_shipdate")).cast("timestamp_ntz").alias("modified_at"),
+        F.lit("2030-01-01").cast("timestamp_ntz").alias("_ingested_at"),
+        F.concat_ws("/", F.lit("erp"), F.col("l_linestatus"), F.col("l_linenumber")).alias(
+            "_source_file"
+        ),
+    )
+    entity = Entity("erp", "line", history.schema, "order_id", {"flag": "lower"})
+    return current_state(history, entity)
+
+
+def q_watermark_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermark of the negative values, of which there are none."""
+    return watermark(_table(spark, sf_dir, "events").where(F.col("value") < 0), "ts")
+
+
+def q_amounts_without_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of all lines, those of no discount having a null one."""
+    lines = order_line_history(spark, sf_dir).withColumn(
+        "discount_pct", F.nullif("discount_pct", F.lit(0))
+    )
+    quantity, price, share = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
+    return lines.select(
+        "order_line_id",
+        "product_id",
+        "supplier_id",
+        gross_amount(quantity, price).alias("gross_amount"),
+        discount_amount(quantity, price, share).alias("discount_amount"),
+        net_amount(quantity, price, share).alias("net_amount"),
+    )
+
+
+def q_failed_ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A FAILED row for every day's file, with its user ids as an error message, cut to length."""
+    files = event_files(spark, sf_dir).groupBy("source_file", "source_date", "event_type").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("event_id")), lambda e: F.repeat(e.cast("string"), F.lit(400))), ",").alias("error")
+    )
+    files = files.select(
+        "*",
+        F.lit("web").alias("source_name"),
+        F.col("event_type").alias("table_name"),
+        F.lit("incremental").alias("load_type"),
+    )
+    now = datetime(2030, 1, 1, tzinfo=timezone.utc)
+    rows = ledger_rows(files, "batch", now, now, FAILED, error=F.col("error"))
+    return rows.select("source_file", "source_date", "status", "rows_ingested", "error_message")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: current order lines with order, customer, product and exact amounts."""
     return q_sales_enriched(spark, SMOKE_DIR)
@@ -607,6 +715,11 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_counts": q_table_counts,
         "archive_partitions": q_archive_partitions,
         "ingest_roundtrip": q_ingest_roundtrip,
+        "ingest_with_drift": q_ingest_with_drift,
+        "current_state_files": q_current_state_files,
+        "watermark_default": q_watermark_default,
+        "amounts_without_discount": q_amounts_without_discount,
+        "failed_ledger_rows": q_failed_ledger_rows,
     }
 
 

@@ -370,4 +370,57 @@ SELECT 'web/events/' || strftime(ts, '%Y/%m/%d') || '/events_' || strftime(ts, '
        CAST(ts AS DATE) AS source_date, 'incremental' AS load_type,
        CAST(count(*) AS BIGINT) AS rows_ingested, 'SUCCESS' AS status
 FROM events GROUP BY ALL""",
+        "ingest_with_drift": """
+            WITH files AS (
+              SELECT 'web/events/' || strftime(ts, '%Y/%m/%d') || '/events_' || strftime(ts, '%Y%m%d')
+                       || '_incremental.parquet' AS source_file,
+                     day(ts) % 2 = 1 AS odd, count(*) AS n
+              FROM events GROUP BY ALL)
+            SELECT source_file, 'strict' AS batch, 'FAILED' AS status,
+                   CAST(NULL AS BIGINT) AS rows_ingested, CAST(NULL AS BIGINT) AS with_channel,
+                   true AS refused
+            FROM files WHERE odd
+            UNION ALL
+            SELECT source_file, CASE WHEN odd THEN 'lenient' ELSE 'strict' END, 'SUCCESS', n,
+                   CASE WHEN odd THEN n ELSE 0 END, NULL
+            FROM files""",
+        "current_state_files": """
+            WITH history AS (
+              SELECT l_orderkey AS order_id, ' ' || l_returnflag || ' ' AS flag,
+                     l_partkey AS product_id, l_quantity AS quantity,
+                     CAST(date_trunc('year', l_shipdate) AS TIMESTAMP) AS modified_at,
+                     TIMESTAMP '2030-01-01' AS _ingested_at,
+                     'erp/' || l_linestatus || '/' || l_linenumber AS _source_file
+              FROM lineitem)
+            SELECT order_id, lower(trim(flag)) AS flag, product_id, quantity, modified_at, _ingested_at
+            FROM history
+            QUALIFY row_number() OVER (
+              PARTITION BY order_id
+              ORDER BY modified_at DESC NULLS LAST, _source_file DESC NULLS LAST,
+                       flag DESC NULLS LAST, product_id DESC NULLS LAST, quantity DESC NULLS LAST
+            ) = 1""",
+        "watermark_default": """
+            SELECT coalesce(max(ts), TIMESTAMP '1900-01-01') AS watermark
+            FROM events WHERE value < 0""",
+        "amounts_without_discount": """
+            WITH lines AS (
+              SELECT l_orderkey * 10 + l_linenumber AS order_line_id, l_partkey AS product_id,
+                     l_suppkey AS supplier_id, CAST(l_quantity AS INTEGER) AS quantity,
+                     CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+                     CAST(l_discount * 100 AS DECIMAL(5,2)) AS share
+              FROM lineitem)
+            SELECT order_line_id, product_id, supplier_id,
+                   CAST(quantity * price AS DECIMAL(18,2)) AS gross_amount,
+                   CAST(quantity * price * share * 0.01 AS DECIMAL(18,2)) AS discount_amount,
+                   CAST(quantity * price * (1 - share * 0.01) AS DECIMAL(18,2)) AS net_amount
+            FROM lines""",
+        "failed_ledger_rows": """
+            SELECT 'web/' || event_type || '/' || strftime(ts, '%Y/%m/%d') || '/' || event_type || '_'
+                     || strftime(ts, '%Y%m%d') || '_incremental.parquet' AS source_file,
+                   strftime(ts, '%Y-%m-%d') AS source_date, 'FAILED' AS status,
+                   CAST(NULL AS BIGINT) AS rows_ingested,
+                   left(string_agg(repeat(CAST(event_id AS VARCHAR), 400), ',' ORDER BY event_id),
+                        4000) AS error_message
+            FROM events GROUP BY event_type, strftime(ts, '%Y/%m/%d'), strftime(ts, '%Y%m%d'),
+                                 strftime(ts, '%Y-%m-%d')""",
     }

@@ -1,8 +1,10 @@
-"""A small retail source in four batches, with updates, late changes and a customer without orders."""
+"""A retail source of our own in four batches, made by a rule: updates, new rows, a change of an order
+alone, a customer without orders, padded text. Expected results are derived from these rows by SQL."""
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+import random
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 from pathlib import Path
 
@@ -11,131 +13,104 @@ from pyspark.sql import SparkSession
 
 from tidemill.contracts import CUSTOMER, ORDER_LINE, ORDERS, PRODUCT, Entity
 
-# Prices by batch, buyers of the orders, and order lines, which the expected totals
-# of test_end_to_end follow from.
-PRICES = {
-    501: 14999, 502: 1899, 503: 499, 504: 1099, 505: 3299,
-    506: 699, 507: 1299, 508: 599, 509: 199, 510: 349,
-}
-NEW_PRICES = {20: {502: 1799, 505: 3099}, 21: {}, 22: {509: 179, 511: 1299}}
-BUYERS = [
-    1001, 1002, 1003, 1001, 1004, 1005, 1006, 1007, 1008, 1009,
-    1010, 1011, 1012, 1013, 1014, 1015, 1016, 1017, 1018, 1020,
-]
-SHIPPED = (20004, 20008, 20015)
-# order, product, quantity, discount in percent; line ids count up from 30001
-FIRST_LINES = [
-    (20001, 501, 1, 0), (20001, 502, 1, 5), (20002, 503, 2, 0), (20003, 505, 1, 0),
-    (20004, 504, 1, 0), (20005, 506, 1, 0), (20006, 507, 1, 10), (20007, 508, 1, 0),
-    (20008, 509, 3, 0), (20009, 510, 2, 0), (20010, 503, 1, 5), (20011, 502, 1, 0),
-    (20012, 505, 2, 0), (20013, 506, 1, 0), (20014, 507, 1, 0), (20015, 501, 1, 5),
-    (20016, 508, 2, 0), (20017, 509, 4, 0), (20018, 504, 1, 10), (20019, 503, 1, 0),
-    (20020, 505, 1, 0),
-]
-
-
-def at(day: int, hour: int = 0, minute: int = 0, month: int = 8, year: int = 2026) -> datetime:
+YEAR, MONTH = 2031, 3
+TOWNS = ["Porto", "Gdynia", "Turku", "Cork"]
+
+
+def at(day: int, hour: int = 0, minute: int = 0, month: int = MONTH, year: int = YEAR) -> datetime:
     return datetime(year, month, day, hour, minute, tzinfo=timezone.utc)
 
 
-LONG_AGO = at(1, month=1, year=2025)
+BEFORE = at(1, month=1)
 
 
-def customer(number, changed, city="Stockholm", status="active", email=None, created=LONG_AGO):
-    email = email or f"Person.{number}@Example.se"
-    return (number, f" First{number}", f"Last{number} ", email, city, status, created, changed)
+def customer(number, changed, city="Porto", status="active", email=None, created=BEFORE):
+    email = email or f"Buyer{number}@Shop.Test"
+    return (number, f"  Given{number}", f"Family{number} ", email, city, status, created, changed)
 
 
-def product(number, price, changed, created=LONG_AGO):
-    return (number, f"Item {number} ", " Things", Decimal(price), True, created, changed)
+def product(number, price, changed, created=BEFORE):
+    return (number, f" Ware {number}", "Goods  ", Decimal(price), True, created, changed)
 
 
 def line(number, order, item, quantity, price, discount, changed):
     return (number, order, item, quantity, Decimal(price), Decimal(discount), changed)
 
 
-def first_batch():
-    start = at(1, 8)
-    days = [at(i + 1, 12, month=7) for i in range(20)]
-    yield CUSTOMER, [
-        customer(n, start, status="inactive" if n == 1019 else "active") for n in range(1001, 1021)
-    ]
-    yield PRODUCT, [product(n, p, start) for n, p in PRICES.items()]
-    yield ORDERS, [
-        (20001 + i, buyer, day.date(), "shipped" if 20001 + i in SHIPPED else "completed", "SEK", day)
-        for i, (buyer, day) in enumerate(zip(BUYERS, days))
-    ]
-    yield ORDER_LINE, [
-        line(30001 + i, order, item, quantity, PRICES[item], discount, days[order - 20001])
-        for i, (order, item, quantity, discount) in enumerate(FIRST_LINES)
-    ]
-
-
-def second_batch():
-    seen = at(20, 9, 15)
-    yield CUSTOMER, [
-        customer(1001, seen, city="Solna"),
-        customer(1007, seen, email="other.1007@example.se"),
-        customer(1012, seen, status="inactive"),
-        customer(1021, seen, created=at(20)),
-        customer(1022, seen, created=at(20)),
-    ]
-    yield PRODUCT, [product(n, p, at(20, 9, 20)) for n, p in NEW_PRICES[20].items()]
-    day = date(2026, 8, 20)
-    yield ORDERS, [
-        (20021, 1021, day, "completed", "SEK", at(20, 10, 0)),
-        (20022, 1003, day, " Shipped", "sek ", at(20, 10, 5)),
-        (20023, 1022, day, "completed", "SEK", at(20, 10, 10)),
-    ]
-    yield ORDER_LINE, [
-        line(30022, 20021, 501, 1, 14999, 0, at(20, 10, 0)),
-        line(30023, 20021, 502, 1, 1799, 5, at(20, 10, 0)),
-        line(30024, 20022, 505, 2, 3099, 0, at(20, 10, 5)),
-        line(30025, 20023, 503, 1, 499, 0, at(20, 10, 10)),
-    ]
-
-
-def third_batch():
-    yield CUSTOMER, [
-        customer(1001, at(21, 8, 30), city="Solna", status="inactive"),
-        customer(1023, at(21, 8, 30), city="Uppsala", created=at(21)),
-    ]
-    yield ORDERS, [
-        (20022, 1003, date(2026, 8, 20), "completed", "SEK", at(21, 8, 45)),
-        (20024, 1023, date(2026, 8, 21), "completed", "SEK", at(21, 9, 0)),
-    ]
-    yield ORDER_LINE, [
-        line(30026, 20024, 506, 1, 699, 0, at(21, 9, 0)),
-        line(30027, 20024, 509, 2, 199, 0, at(21, 9, 0)),
-    ]
-
-
-def fourth_batch():
-    yield CUSTOMER, [
-        customer(1023, at(22, 8, 0), created=at(21)),
-        customer(1024, at(22, 8, 0), created=at(22)),
+class Source:
+    """The rows as they stand, and what each batch delivers of them."""
+
+    def __init__(self, seed: int = 11):
+        self.random = random.Random(seed)
+        self.price = {900 + 3 * n: Decimal(self.random.randrange(150, 90000)) / 100 for n in range(14)}
+        self.customers, self.orders, self.lines = 40, 0, 0
+        self.placed: dict[int, tuple] = {}
+        self.loner = 7000 + self.customers  # never buys
+
+    def new_orders(self, many: int, day: int):
+        orders, lines = [], []
+        for _ in range(many):
+            self.orders += 1
+            when = at(day, 6, self.orders % 60)
+            buyer = 7000 + self.random.randrange(1, self.customers)
+            row = (4000 + self.orders, buyer, when.date(), " Paid", "eur ", when)
+            self.placed[row[0]] = row
+            orders.append(row)
+            for _ in range(self.random.randrange(1, 4)):
+                self.lines += 1
+                lines.append(self.line_of(60 + self.lines, row[0], when))
+        return orders, lines
+
+    def line_of(self, number: int, order: int, when: datetime):
+        item = self.random.choice(sorted(self.price))
+        discount = self.random.choice(["0", "0", "2.5", "12"])
+        quantity = self.random.randrange(1, 9)
+        return line(number, order, item, quantity, self.price[item], discount, when)
+
+
+def _batches() -> dict[str, list[tuple[Entity, list[tuple]]]]:
+    source = Source()
+    out = {}
+    orders, lines = source.new_orders(60, 2)
+    out["20310303_full"] = [
+        (CUSTOMER, [customer(7000 + n, at(3), TOWNS[n % 4]) for n in range(1, source.customers + 1)]),
+        (PRODUCT, [product(n, p, at(3)) for n, p in source.price.items()]),
+        (ORDERS, orders),
+        (ORDER_LINE, lines),
     ]
-    yield PRODUCT, [
-        product(n, p, at(22, 8, 5), created=LONG_AGO if n == 509 else at(22))
-        for n, p in NEW_PRICES[22].items()
+    # prices change, customers move, orders come in
+    orders, lines = source.new_orders(12, 10)
+    changed = sorted(source.price)[:3]
+    source.price.update({n: source.price[n] + 1 for n in changed})
+    out["20310310_incremental"] = [
+        (CUSTOMER, [customer(7000 + n, at(10), "Bergen", email=f"NEW{n}@shop.test") for n in (3, 8)]),
+        (PRODUCT, [product(n, source.price[n], at(10)) for n in changed]),
+        (ORDERS, orders),
+        (ORDER_LINE, lines),
     ]
-    yield ORDERS, [
-        (20024, 1023, date(2026, 8, 21), "returned", "SEK", at(22, 8, 15)),
-        (20025, 1024, date(2026, 8, 22), "completed", "SEK", at(22, 8, 20)),
+    # an order alone changes its status; no product file
+    orders, lines = source.new_orders(5, 17)
+    alone = source.placed[4004]
+    out["20310317_incremental"] = [
+        (CUSTOMER, [customer(7003, at(17), "Bergen", status="closed")]),
+        (ORDERS, [*orders, (*alone[:3], "Returned", "EUR", at(17, 5))]),
+        (ORDER_LINE, lines),
     ]
-    yield ORDER_LINE, [
-        line(30027, 20024, 509, 3, 199, 0, at(22, 8, 15)),
-        line(30028, 20025, 511, 1, 1299, 0, at(22, 8, 20)),
-        line(30029, 20025, 503, 2, 499, 10, at(22, 8, 20)),
+    # a line is corrected with its order, a new product is sold
+    orders, lines = source.new_orders(5, 24)
+    source.price[990] = Decimal("19.99")
+    fixed = source.placed[4009]
+    out["20310324_incremental"] = [
+        (CUSTOMER, [customer(7100, at(24), created=at(24))]),
+        (PRODUCT, [product(990, source.price[990], at(24), created=at(24))]),
+        (ORDERS, [*orders, (*fixed[:3], "Corrected", "EUR", at(24, 5))]),
+        (ORDER_LINE, [*lines, line(CORRECTED, 4009, 990, 7, "19.99", "5", at(24, 5))]),
     ]
+    return out
 
 
-BATCHES = {
-    "20260801_full": first_batch,
-    "20260820_incremental": second_batch,
-    "20260821_incremental": third_batch,
-    "20260822_incremental": fourth_batch,
-}
+CORRECTED = 61
+BATCHES = _batches()
 
 
 def land_file(spark: SparkSession, landing, entity: Entity, name: str, rows, schema=None) -> Path:
@@ -148,7 +123,7 @@ def land_file(spark: SparkSession, landing, entity: Entity, name: str, rows, sch
 
 
 def land(spark: SparkSession, landing, batch: str) -> None:
-    for entity, rows in BATCHES[batch]():
+    for entity, rows in BATCHES[batch]:
         land_file(spark, landing, entity, f"{entity.table}_{batch}.parquet", rows)
 
 

@@ -11,7 +11,6 @@ from tidemill.sources.files import (
     check_schema,
     classify_files,
     discover_files,
-    name_glob,
     plain_path,
     read_files,
 )
@@ -90,18 +89,17 @@ def test_archive_paths_sort_by_date(spark):
     assert spark.range(1).select(path).first()[0] == "crm/customer/2026/08/02/f.parquet"
 
 
-def test_glob_takes_what_the_convention_takes(spark, tmp_path):
-    for name in NAMES:
-        land_file(spark, tmp_path, CUSTOMER, name, [customer(1, at(1))])
-    folder = str(tmp_path / "crm" / "customer")
-    rows = read_files(spark, folder, pathGlobFilter=name_glob("customer"))
-    names = {r[0] for r in rows.select("_metadata.file_name").collect()}
-    assert names == {
-        "customer_20260820_full.parquet",
-        "Customer_20260820_INCREMENTAL.PARQUET",
-        "customer_20261399_full.parquet",
-        "customer_20260230_full.parquet",
-    }
+def test_files_without_bytes_are_seen(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("a.parquet", "sub/b.PARQUET", "c.txt", "_d.parquet", ".e.parquet"):
+        (tmp_path / name).write_bytes(b"")
+    (tmp_path / "f.parquet").write_bytes(b"x")
+    found = {r.file_name: r.size_bytes for r in discover_files(spark, str(tmp_path)).collect()}
+    assert found == {"a.parquet": 0, "b.PARQUET": 0, "f.parquet": 1}
+    flat = discover_files(spark, str(tmp_path), recursive=False)
+    assert {r.file_name for r in flat.collect()} == {"a.parquet", "f.parquet"}
+    void = flat.where("size_bytes = 0").withColumn("file_name", F.lit("x_20260801_full.parquet"))
+    assert classify_files(void, "s", "x").first().reject_reason == "file has no bytes"
 
 
 def drifted(spark, change):

@@ -4,11 +4,12 @@ from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tests.retail import at, customer, land_file, ticking
 from tidemill.contracts import CUSTOMER
 from tidemill.operators.ledger import ingest_anomalies, pending_files
+from tidemill.plans import archive as archive_module
 from tidemill.plans import ingest as ingest_module
 from tidemill.plans.archive import ArchiveFailed, archive_all
 from tidemill.plans.ingest import archived_files, ingest_new_files
@@ -98,7 +99,7 @@ def test_changed_file_is_refused_and_the_archive_kept(loader):
         "already archived with another size",
     )
     assert loader.ingest("first") == 1
-    assert [r.city for r in loader.history().collect()] == ["Stockholm"]
+    assert [r.city for r in loader.history().collect()] == ["Porto"]
 
 
 def test_archive_keeps_columns_it_does_not_know(loader):
@@ -110,14 +111,82 @@ def test_archive_keeps_columns_it_does_not_know(loader):
     loader.store("first")
     with pytest.raises(SchemaDrift, match="unexpected column extra"):
         loader.ingest("strict")
-    failed = loader.ledger().collect()
-    assert {(r.status, r.rows_ingested) for r in failed} == {("FAILED", None)}
-    assert all("unexpected column extra" in r.error_message for r in failed)
-    assert loader.history().isEmpty()
-    # failed files stay pending; with evolution allowed they load and older rows read null
-    assert loader.ingest("lenient", allow_new_columns=True) == 2
+    # the plain file is in, the wide one is refused and stays pending
+    states = {r.status: r for r in loader.ledger().collect()}
+    assert (states["SUCCESS"].rows_ingested, states["FAILED"].rows_ingested) == (1, None)
+    assert "unexpected column extra" in states["FAILED"].error_message
+    assert [r.customer_id for r in loader.history().collect()] == [1]
+    # with evolution allowed it loads, and older rows read null
+    assert loader.ingest("lenient", allow_new_columns=True) == 1
     rows = {r.customer_id: r.extra for r in loader.history().collect()}
     assert rows == {1: None, 2: "kept"}
+    # a late plain file of the wide one's day is not held against it
+    loader.land("customer_20260802_full.parquet", [customer(3, at(2))])
+    loader.store("second")
+    assert loader.ingest("third") == 1
+    assert loader.history().count() == 3
+
+
+def test_a_missing_column_is_refused_in_any_company(loader):
+    narrow = StructType([f for f in CUSTOMER.schema.fields if f.name != "city"])
+    row = customer(1, at(1))
+    loader.land(GOOD, [row[:4] + row[5:]], narrow)
+    loader.land("customer_20260801_incremental.parquet", [customer(2, at(1))])
+    loader.store("first")
+    with pytest.raises(SchemaDrift, match="missing column city"):
+        loader.ingest("first", allow_new_columns=True)
+    assert [r.customer_id for r in loader.history().collect()] == [2]
+
+
+def test_corrupt_and_retyped_files_fail_alone(loader):
+    loader.land(GOOD, [customer(n, at(1)) for n in range(3)])
+    loader.land("customer_20260802_full.parquet", []).write_bytes(b"PAR1 not a parquet file PAR1")
+    loader.land("customer_20260803_full.parquet", []).write_bytes(b"")
+    retyped = StructType(
+        [StructField("city", DateType()) if f.name == "city" else f for f in CUSTOMER.schema]
+    )
+    row = customer(9, at(4))
+    loader.land("customer_20260804_full.parquet", [row[:4] + (None,) + row[5:]], retyped)
+    with pytest.raises(ArchiveFailed, match="2 file"):
+        loader.store("first")
+    got = loader.messages("first")
+    assert got[GOOD] == ("SUCCESS", "archived, row counts agree", 3)
+    assert got["customer_20260802_full.parquet"][0] == "FAILED"
+    assert "cannot be read" in got["customer_20260802_full.parquet"][1]
+    assert got["customer_20260803_full.parquet"][:2] == ("FAILED", "file has no bytes")
+    assert got["customer_20260804_full.parquet"][::2] == ("SUCCESS", 1)
+    with pytest.raises(SchemaDrift, match="column city is date"):
+        loader.ingest("first")
+    assert loader.history().count() == 3
+
+
+@pytest.mark.parametrize("when", ["before its footer", "before its rows"])
+def test_a_file_that_goes_away_fails_and_may_return(loader, monkeypatch, when):
+    loader.land(GOOD, [customer(n, at(1)) for n in range(3)])
+    rows = [customer(n, at(2)) for n in range(10, 15)]
+    second = loader.land("customer_20260802_full.parquet", rows)
+
+    def without_it(function, late):
+        def run(*args):
+            out = function(*args) if late else None
+            second.unlink(missing_ok=True)
+            return out if late else function(*args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        late = when == "before its rows"
+        patch.setattr(archive_module, "footers", without_it(archive_module.footers, late))
+        with pytest.raises(ArchiveFailed, match="1 file"):
+            loader.store("first")
+    got = loader.messages("first")
+    assert got[GOOD] == ("SUCCESS", "archived, row counts agree", 3)
+    assert got[second.name][0] == "FAILED" and got[second.name][2] is None
+    loader.land(second.name, rows)
+    loader.store("second")
+    assert loader.messages("second")[second.name] == ("SUCCESS", "archived, row counts agree", 5)
+    assert loader.ingest("all") == 2
+    assert loader.history().count() == 8
 
 
 def test_missing_and_retyped_columns_are_refused(loader):
@@ -138,7 +207,7 @@ def test_crash_between_data_and_ledger_loads_once(loader, monkeypatch, retry, le
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
-        patch.setattr(ingest_module, "ledger_rows", die)
+        patch.setattr(ingest_module, "append", die)
         with pytest.raises(KeyboardInterrupt):
             loader.ingest("lost")
     table = loader.lake.history(CUSTOMER)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+import json
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -14,14 +17,7 @@ from tidemill.contracts import FAILED, SUCCESS, Entity
 from tidemill.operators.ledger import load_summary
 from tidemill.operators.union import union_all
 from tidemill.session import work_dir, written
-from tidemill.sources.files import (
-    SchemaDrift,
-    archive_path,
-    classify_files,
-    discover_files,
-    name_glob,
-    read_files,
-)
+from tidemill.sources.files import archive_path, classify_files, discover_files
 from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append
 
 # Layout of the archive. The last level is one folder per landed file, so a file is a partition.
@@ -29,10 +25,16 @@ LAYOUT = ("load_year", "load_month", "load_day", "file_name")
 
 
 FILE_KEY = ("source_name", "table_name", "file_name")
-RECONCILED = (
+COPIED = (
     "file_name string, rows_landed long, rows_archived long, complete boolean, "
-    "source_name string, table_name string"
+    "source_name string, table_name string, file_schema string"
+)
+FAILURES = (
+    "source_name string, table_name string, file_name string, file_schema string, "
+    "copy_error string"
 )
+# Footers read at a time.
+FOOTER_THREADS = 16
 
 
 class ArchiveFailed(RuntimeError):
@@ -93,6 +95,19 @@ def reconcile(landed: DataFrame, stored: DataFrame) -> DataFrame:
     return both.withColumn("complete", F.col("rows_landed") == F.col("rows_archived"))
 
 
+def footers(spark: SparkSession, uris: list[str]) -> dict[str, tuple[str | None, str | None]]:
+    """The schema of each file, or why it cannot be read; one footer a file, several at a time."""
+
+    def look(uri: str) -> tuple[str | None, str | None]:
+        try:
+            return spark.read.parquet(uri).schema.json(), None
+        except (PySparkException, Py4JJavaError) as failure:
+            return None, f"cannot be read: {failure}"
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        return dict(zip(uris, pool.map(look, uris)))
+
+
 def archive_landing(
     spark: SparkSession,
     lake: Lakehouse,
@@ -106,14 +121,19 @@ def archive_landing(
     """Archive the new files of all entities and log one row per landed file. Returns these rows.
 
     Files are expected in their entity's landing folder, or with ``recursive`` anywhere below it, as
-    in an existing ``yyyy/mm/dd`` tree to be taken over. A bad name or a changed file fails on its
-    own; files of one entity that cannot be read together fail together. The caller removes landed
-    files when it likes: repeating this is a no-op for them.
+    in an existing ``yyyy/mm/dd`` tree to be taken over. Every file fails on its own, whatever is
+    wrong with it: its name, its size, its content, or that it went away before it was read. Files of
+    one schema are copied together, each exactly as it is. The caller removes landed files when it
+    likes: repeating this is a no-op for them.
+
+    The driver holds a row for each file that is new in this run.
     """
     work = work_dir(spark)
     log = spark.table(lake.archive_log).where(F.col("status") == SUCCESS)
     archived = log.groupBy(*FILE_KEY).agg(
-        F.max("size_bytes").alias("archived_size"), F.max("rows_archived").alias("rows_before")
+        F.max("size_bytes").alias("archived_size"),
+        F.max("rows_archived").alias("rows_before"),
+        F.max("file_schema").alias("schema_before"),
     )
     found = [
         classify_files(
@@ -123,53 +143,42 @@ def archive_landing(
     ]
     # One listing for the whole run: files that land meanwhile wait for the next one.
     decided = written(decide(union_all(found), archived), f"{work}/decided")
-    copies = decided.where("action = 'copy'")
-    # One row per entity.
-    oldest = {
-        (r.source_name, r.table_name): r.oldest
-        for r in copies.groupBy("source_name", "table_name")
-        .agg(F.min("changed_at").alias("oldest"))
-        .collect()
-    }
-    checked = [spark.createDataFrame([], RECONCILED)]
-    copy_error = F.lit(None).cast("string")
-    for entity in entities:
-        own = (F.col("source_name") == entity.source) & (F.col("table_name") == entity.table)
-        since = oldest.get((entity.source, entity.table))
-        if since is None:
-            continue
-        source_root, target_root = archive_root(landing, entity), archive_root(archive, entity)
-        try:
-            rows = landed_rows(
-                spark, source_root, entity.table, copies.where(own), since, recursive
-            )
-            write_archive(rows, target_root)
-            counts = reconcile(rows, archived_rows(spark, target_root, copies.where(own)))
-            names = {"source_name": F.lit(entity.source), "table_name": F.lit(entity.table)}
-            checked.append(counts.withColumns(names))
-        except (SchemaDrift, PySparkException, Py4JJavaError) as failure:
-            copy_error = F.when(own, F.lit(f"copy failed: {failure}")).otherwise(copy_error)
-
-    results = decided.join(union_all(checked), list(FILE_KEY), "left").withColumn(
-        "copy_error", copy_error
-    )
-    complete = F.col("copy_error").isNull() & F.coalesce("complete", F.lit(True))
-    ok = (F.col("action") == "accept") | ((F.col("action") == "copy") & complete)
+    new = decided.where("action = 'copy'").select(*FILE_KEY, "uri", "source_date").collect()
+    seen = footers(spark, [r.uri for r in new])
+    done: list[DataFrame] = [spark.createDataFrame([], COPIED)]
+    failed = [(*r[:3], None, seen[r.uri][1]) for r in new if seen[r.uri][0] is None]
+    groups: dict[tuple, list[Row]] = {}
+    for row in new:
+        if seen[row.uri][0] is not None:
+            groups.setdefault((row.source_name, row.table_name, seen[row.uri][0]), []).append(row)
+    for (source, table, schema), files in groups.items():
+        entity = next(e for e in entities if (e.source, e.table) == (source, table))
+        counts, errors = copy_files(spark, archive_root(archive, entity), schema, files)
+        failed += errors
+        if counts is not None:
+            names = {"source_name": source, "table_name": table, "file_schema": schema}
+            done.append(counts.withColumns({k: F.lit(v) for k, v in names.items()}))
+    checked = union_all(done).withColumn("copy_error", F.lit(None).cast("string"))
+    lost = spark.createDataFrame(failed, FAILURES)
+    checked = checked.unionByName(lost, allowMissingColumns=True)
+
+    results = decided.join(checked, list(FILE_KEY), "left")
+    accepted = F.col("action") == "accept"
+    # Without a count of its own, no file has been copied.
+    ok = accepted | ((F.col("action") == "copy") & F.coalesce("complete", F.lit(False)))
     message = (
         F.when(F.col("action") == "reject", F.col("reject_reason"))
-        .when(F.col("action") == "accept", F.lit("already archived, same size"))
+        .when(accepted, F.lit("already archived, same size"))
         .when(F.col("action") == "conflict", F.lit("already archived with another size"))
         .when(ok, F.lit("archived, row counts agree"))
         .otherwise(F.coalesce("copy_error", F.lit("row counts differ after the copy")))
     )
-    rows = F.when(F.col("action") == "accept", F.col("rows_before")).when(
-        ok, F.coalesce("rows_archived", F.lit(0))
-    )
     values = {
         "source_file": archive_path(
             F.col("source_name"), F.col("table_name"), F.col("source_date"), F.col("file_name")
         ),
-        "rows_archived": rows,
+        "rows_archived": F.when(accepted, F.col("rows_before")).when(ok, F.col("rows_archived")),
+        "file_schema": F.when(accepted, F.col("schema_before")).otherwise(F.col("file_schema")),
         "status": F.when(ok, F.lit(SUCCESS)).otherwise(F.lit(FAILED)),
         "message": message,
         "batch_id": F.lit(batch_id),
@@ -188,48 +197,76 @@ def archive_landing(
     return entry
 
 
-def landed_rows(
-    spark: SparkSession,
-    source_root: str,
-    table: str,
-    files: DataFrame,
-    oldest: datetime,
-    recursive: bool = False,
-) -> DataFrame:
-    """Rows of the landed ``files``, which have different names, each with its file's name and date
-    parts.
+def copy_files(
+    spark: SparkSession, target_root: str, schema: str, files: list[Row]
+) -> tuple[DataFrame | None, list[tuple]]:
+    """Copy files of one schema. Returns the rows of each, counted on both sides, and the files that
+    failed. If the copy breaks, files that can no longer be read fail and the others are copied
+    again; if all can be read, the copy fails for all of them."""
+    errors: list[tuple] = []
+    while files:
+        try:
+            rows = landed_rows(spark, schema, files)
+            write_archive(rows, target_root)
+            filled = {r[0] for r in rows.select("file_name").distinct().collect()}
+            stored = archived_rows(spark, target_root, [f for f in files if f.file_name in filled])
+            counts = written(reconcile(rows, stored), f"{work_dir(spark)}/counts")
+            break
+        except (PySparkException, Py4JJavaError) as failure:
+            again = footers(spark, [f.uri for f in files])
+            broken = [f for f in files if again[f.uri][0] != schema]
+            reason = {f.uri: again[f.uri][1] or "changed while it was copied" for f in broken}
+            for file in broken or files:
+                errors.append((*file[:3], schema, reason.get(file.uri, f"copy failed: {failure}")))
+            files = [f for f in files if f not in broken] if broken else []
+    if not files:
+        return None, errors
+    # A file without a row in the copy is complete if it can be read and has none.
+    empty = []
+    for file in (f for f in files if f.file_name not in filled):
+        try:
+            scan = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(file.uri)
+            if scan.isEmpty():
+                empty.append((file.file_name, 0, 0, True))
+        except (PySparkException, Py4JJavaError) as failure:
+            errors.append((*file[:3], schema, f"cannot be read: {failure}"))
+    return counts.unionByName(spark.createDataFrame(empty, counts.schema)), errors
 
-    The listing leaves out names that do not follow the convention and files last changed before
-    the ``oldest`` of ``files``; the join settles the rest exactly.
-    """
-    since = oldest.astimezone(timezone.utc) - timedelta(seconds=1)
-    scan = read_files(
-        spark,
-        source_root,
-        pathGlobFilter=name_glob(table),
-        modifiedAfter=since.strftime("%Y-%m-%dT%H:%M:%S"),
-        timeZone="UTC",
-        recursiveFileLookup=recursive,
+
+def landed_rows(spark: SparkSession, schema: str, files: list[Row]) -> DataFrame:
+    """Rows of the landed ``files``, which have one schema and different names, each with its file's
+    name and date parts."""
+    columns = StructType.fromJson(json.loads(schema))
+    scan = spark.read.schema(columns).parquet(*(f.uri for f in files))
+    days = spark.createDataFrame(
+        [(f.file_name, f.source_date) for f in files], "file_name string, source_date date"
     )
     rows = scan.select("*", F.col("_metadata.file_name").alias("file_name"))
     return (
-        rows.join(files.select("file_name", "source_date"), "file_name")
+        rows.join(days, "file_name")
         .withColumns(layout_columns("source_date"))
         .select(*scan.columns, *LAYOUT)
     )
 
 
-def archived_rows(spark: SparkSession, target_root: str, files: DataFrame) -> DataFrame:
-    """The LAYOUT columns of every archived row of ``files``, pruned to their partitions."""
-    keys = files.where("action = 'copy'").withColumns(layout_columns("source_date"))
+def day_folders(root: str, days: Iterable[date]) -> list[str]:
+    parts = "load_year={0:%Y}/load_month={0:%m}/load_day={0:%d}"
+    return [f"{root}/{parts.format(day)}" for day in sorted(set(days))]
+
+
+def archived_rows(spark: SparkSession, target_root: str, files: list[Row]) -> DataFrame:
+    """The LAYOUT columns of every archived row of ``files``. Only the days of these files are
+    listed, and within them the join prunes to the files' own partitions."""
     layout = StructType([StructField(c, StringType()) for c in LAYOUT])
-    try:
-        stored = spark.read.schema(layout).parquet(target_root)
-    except PySparkException as failure:
-        if failure.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not files:
         return spark.createDataFrame([], layout)
-    return stored.join(keys.select(*LAYOUT), list(LAYOUT), "left_semi")
+    stored = (
+        spark.read.schema(layout)
+        .option("basePath", target_root)
+        .parquet(*day_folders(target_root, (f.source_date for f in files)))
+    )
+    keys = [(*f"{x.source_date:%Y %m %d}".split(), x.file_name) for x in files]
+    return stored.join(spark.createDataFrame(keys, layout), list(LAYOUT), "left_semi")
 
 
 def archive_all(

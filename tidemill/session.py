@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,6 @@ SETTINGS = {
 }
 
 SPLIT_BYTES = 512 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 _own_dirs: dict[str, str] = {}
 
@@ -40,7 +40,7 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8, **conf: str
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a job over ``input_bytes`` on ``cores``: scan and shuffle partitions of about
     ``SPLIT_BYTES``, at least one per core. Adaptive execution merges what turns out small."""
-    partitions = min(max(-(-input_bytes // SPLIT_BYTES), cores), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(-(-input_bytes // SPLIT_BYTES), cores)
     return {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -52,11 +52,12 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it then gets a temporary folder of its own.
+    Only a session in one process may go without that setting; it then gets a temporary folder of its
+    own. ``local-cluster`` has executors in other processes and may not.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
         app = spark.sparkContext.applicationId
         shared = _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="run-"))

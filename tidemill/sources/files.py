@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -11,6 +13,7 @@ from tidemill.contracts import FILE_DATE_FORMAT, FILE_NAME_PATTERN, Entity
 
 MANIFEST = StructType(
     [
+        StructField("uri", StringType()),
         StructField("path", StringType()),
         StructField("file_name", StringType()),
         StructField("size_bytes", LongType()),
@@ -26,11 +29,11 @@ def plain_path(path: Column) -> Column:
 
 
 def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """All ``*.parquet`` files under ``root``, whatever the case of the suffix: path, file name,
-    size, change time. A missing folder gives an empty manifest.
+    """All ``*.parquet`` files under ``root``, whatever the case of the suffix: where to read it from,
+    path, file name, size, change time. A missing folder gives an empty manifest.
 
     This is a scan of the ``binaryFile`` source without its content column, so it lists but opens
-    nothing. Spark gives files of zero bytes, which are not Parquet, no task; they do not appear.
+    nothing. Spark gives files of zero bytes no task; they are added from the folder's own listing.
     """
     try:
         listing = (
@@ -40,14 +43,34 @@ def discover_files(spark: SparkSession, root: str, recursive: bool = True) -> Da
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], MANIFEST)
         raise
-    return listing.where(F.lower("path").like("%.parquet")).select(
-        plain_path(F.col("path")).alias("path"),
-        F.substring_index("path", "/", -1).alias("file_name"),
+    found = listing.select(
+        F.col("path").alias("uri"), F.col("length"), F.col("modificationTime").alias("changed_at")
+    )
+    void = zero_byte_files(spark, root, recursive)
+    if void:
+        found = found.where("length > 0").unionByName(spark.createDataFrame(void, found.schema))
+    return found.where(F.lower("uri").like("%.parquet")).select(
+        "uri",
+        plain_path(F.col("uri")).alias("path"),
+        F.substring_index("uri", "/", -1).alias("file_name"),
         F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("changed_at"),
+        "changed_at",
     )
 
 
+def zero_byte_files(spark: SparkSession, root: str, recursive: bool) -> list[tuple]:
+    """(uri, 0, change time) of the files without content; hidden ones are left out, as in any scan."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files, out = system.listFiles(path, recursive), []
+    while files.hasNext():
+        file = files.next()
+        if file.getLen() == 0 and file.getPath().getName()[0] not in "._":
+            changed = datetime.fromtimestamp(file.getModificationTime() / 1000, timezone.utc)
+            out.append((file.getPath().toString(), 0, changed))
+    return out
+
+
 def classify_files(files: DataFrame, source: str, table: str | Column) -> DataFrame:
     """Read table, date and load type out of ``file_name`` and say whether the file may be loaded.
 
@@ -70,6 +93,8 @@ def classify_files(files: DataFrame, source: str, table: str | Column) -> DataFr
         .when(F.lower(named_table) != F.lower("table_name"), F.lit("file is of another table"))
         .when(F.col("source_date").isNull(), F.lit("file date is not a date"))
     )
+    if "size_bytes" in files.columns:
+        reason = reason.when(F.col("size_bytes") == 0, F.lit("file has no bytes"))
     return parsed.withColumn("reject_reason", reason)
 
 
@@ -98,22 +123,12 @@ def check_schema(found: StructType, entity: Entity, allow_new_columns: bool = Fa
         raise SchemaDrift(f"{entity.name}: {'; '.join(problems)}")
 
 
-def name_glob(table: str) -> str:
-    """The file name convention for one table as a glob for ``pathGlobFilter``, in any case."""
-
-    def any_case(text: str) -> str:
-        return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in text)
-
-    load_types = f"{{{any_case('full')},{any_case('incremental')}}}"
-    return f"{any_case(table)}_{'[0-9]' * 8}_{load_types}{any_case('.parquet')}"
-
-
 def read_files(spark: SparkSession, *paths: str, **options: str | bool) -> DataFrame:
     """One scan over all ``paths`` with the union of their columns. Footers are merged by a Spark
     job; columns of conflicting types raise."""
     try:
         return spark.read.options(mergeSchema=True, **options).parquet(*paths)
-    except Exception as error:
-        if "CANNOT_MERGE" in str(error):
+    except PySparkException as error:
+        if (error.getCondition() or "").startswith("CANNOT_MERGE"):
             raise SchemaDrift(str(error)) from error
         raise
