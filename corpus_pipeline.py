@@ -8,14 +8,14 @@ stage returns as Parquet and reads it again for the next one. All but the last r
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import byte_bpe
 from tidemill.llm.common import Workspace, importable
 from tidemill.llm.line_dedup import dedup_lines, word_count
 from tidemill.llm.mixing import Tempered, mix, with_topic
-from tidemill.llm.ngram_jaccard import similar_components
+from tidemill.llm.ngram_jaccard import checked, similar_components
 from tidemill.llm.quality import judge, n_words, with_votes
 
 MIN_RUN_WORDS = 50
@@ -26,14 +26,14 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the base rule and are probably good by the weighed rules."""
-    judged, _ = judge(with_votes(docs), Workspace(spark))
+    judged, _ = judge(with_votes(docs), fresh(spark))
     return judged.where("kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of line runs of 50 words or more; a document that loses all its words to
     that goes. ``n_chars`` follows the text."""
-    left = dedup_lines(docs, Workspace(spark), min_words=MIN_RUN_WORDS)
+    left = dedup_lines(docs, fresh(spark), min_words=MIN_RUN_WORDS)
     lost = F.col("n_deleted") > 0
     left = left.where(~lost | F.coalesce(F.trim("text") != "", F.lit(False)))
     left = left.where(~lost | (word_count(F.replace("text", F.lit("\n"), F.lit(" "))) > 0))
@@ -44,27 +44,35 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with similar 5-word shingles stays, the one of the smallest id."""
     importable(spark)
-    work = Workspace(spark)
+    work = fresh(spark)
     found = similar_components(docs, work, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    kept = work.keep(found.where("first").select("_id", "_hash").distinct(), "kept")
+    found = work.keep(found.select("_id", "_hash", "first"), "found")
+    key = ["_id", "_hash"]
+    out = checked(work.keep(found.where("NOT first").select(key).distinct(), "out"))
+    # Rows repeated with id and text are one document.
+    counts = found.where("first").groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = checked(work.keep(counts.select(key), "repeated"))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
-    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_hash"] == kept["_hash"])
-    rows = rows.join(kept.hint("merge"), same, "left_semi")
+
+    def among(some: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(some["_id"]) & (rows["_hash"] == some["_hash"])
+
+    single = rows.join(out, among(out), "left_anti").join(repeated, among(repeated), "left_anti")
     one = Window.partitionBy("doc_id", "_hash").orderBy("text")
-    # Rows repeated with id and text are one document.
-    rows = rows.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    return rows.select(*docs.columns)
+    many = rows.join(repeated, among(repeated), "left_semi").withColumn("_n", F.row_number().over(one))
+    return single.select(*docs.columns).union(many.where("_n = 1").select(*docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that tokens meet the target weights of sources, languages and topics."""
-    mixed = mix(with_topic(spark, docs, sf_dir), TARGETS, n_words(), Workspace(spark))
+    mixed = mix(with_topic(spark, docs, sf_dir), TARGETS, n_words(), fresh(spark))
     return mixed.where("sampled").select(*docs.columns)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text back."""
     importable(spark)
+    fresh(spark)
     path = public_tokenizers.path(RANKS)
     vocabulary = byte_bpe.Vocabulary(spark, path, public_tokenizers.PATTERN)
     coded = byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary)
@@ -73,6 +81,18 @@ def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
 
 
+_open: list[Workspace] = []
+
+
+def fresh(spark: SparkSession) -> Workspace:
+    """A workspace for a stage. The tables of the stage before go: what it returned has been written
+    by now, as this stage was given it."""
+    while _open:
+        _open.pop().close()
+    _open.append(Workspace(spark))
+    return _open[-1]
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),

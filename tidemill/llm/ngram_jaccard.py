@@ -31,7 +31,7 @@ from tidemill.llm.components import connected
 FEW_SETS = 32
 # Rounds in which tokens of crowded keys move to the frequent class.
 ROUNDS = 4
-# Sets fetched by broadcasting their ids; more are fetched by a shuffled join.
+# Ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_SETS = 200_000
 STEP_BYTES = 1 << 20
 
@@ -117,13 +117,13 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of each document (_id, _hash, _text): set size, a digest of the set, and its first tokens, half
-    as many again as its prefix and some more."""
+    """Of each document (_id, _hash, _text): set size, a digest of the set, and its first tokens, a
+    quarter more than its prefix and a few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets_of(batches, 2, n):
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            heads = [s[: prefix_size(len(s), percent) * 3 // 2 + 8] for s in sets]
+            heads = [s[: prefix_size(len(s), percent) * 5 // 4 + 8] for s in sets]
             columns = {
                 "_id": batch.column(0),
                 "_hash": batch.column(1),
@@ -136,13 +136,18 @@ def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "_id long, _hash long, n long, digest binary, head array<long>")
 
 
-def fetch_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+def checked(rows: DataFrame) -> DataFrame:
+    """``rows``, narrow and written before, to be broadcast if there are at most BROADCAST_SETS."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_SETS else rows
+
+
+def fetch_sets(
+    docs: DataFrame, nodes: DataFrame, wanted: DataFrame, work: Workspace, n: int
+) -> DataFrame:
     """node, n and all tokens of the wanted nodes, from the text of one document of each."""
-    keys = nodes.join(wanted, "node", "left_semi").select(
-        "node", F.col("rep._id").alias("_key"), F.col("rep._hash").alias("_same")
-    )
-    if wanted.count() <= BROADCAST_SETS:
-        keys = F.broadcast(keys)
+    keys = nodes.select("node", "rep").join(checked(wanted), "node", "left_semi")
+    keys = keys.select("node", F.col("rep._id").alias("_key"), F.col("rep._hash").alias("_same"))
+    keys = checked(work.keep(keys, "fetched"))
     same = docs["_id"].eqNullSafe(keys["_key"]) & (docs["_hash"] == keys["_same"])
     texts = docs.join(keys, same).select("node", "_text")
 
@@ -170,34 +175,38 @@ def token_keys(nodes: DataFrame, percent: int, work: Workspace) -> tuple[DataFra
     """Keys of the sets that have enough rare tokens, the others, and the frequent tokens.
 
     All sets start with the prefix of the hash order. Tokens of crowded keys become frequent, and the
-    sets that had them take later tokens instead, as long as they have some at hand.
+    sets that had them take later tokens instead, as long as they have some at hand. After the first
+    round only these new tokens are counted: which tokens are frequent decides on speed, never on
+    results.
     """
     need = prefix_column(F.col("n"), percent).cast("int")
-    current = nodes.select("node", "n", F.col("head").alias("rare"), F.lit(False).alias("dense"))
-    frequent, settled = None, None
-    for step in range(ROUNDS):
-        keys = current.where("NOT dense").select(
-            "node", F.explode(F.slice("rare", F.lit(1), need)).alias("key")
-        )
-        found = work.keep(crowded(keys), "crowded")
+    first = F.slice("head", F.lit(1), need)
+    changed = nodes.select("node", F.explode(first).alias("key"))
+    frequent, current = None, None
+    for _ in range(ROUNDS):
+        found = work.keep(crowded(changed), "crowded")
         if found.isEmpty():
             break
         frequent = found if frequent is None else work.keep(frequent.union(found), "frequent")
-        hit = (
-            current.where("NOT dense")
-            .select("node", F.explode("rare").alias("key"))
-            .join(found, "key")
-            .groupBy("node")
-            .agg(F.collect_list("key").alias("gone"))
-        )
-        rare = F.when(F.col("gone").isNull(), F.col("rare")).otherwise(F.array_except("rare", "gone"))
-        current = current.join(hit, "node", "left").select("node", "n", rare.alias("rare"), "dense")
-        dense = F.col("dense") | (F.size("rare") < F.least(need, F.col("n").cast("int")))
-        current = work.keep(current.withColumn("dense", dense), "rare")
+        # Sets with a frequent token among their first ones, from all rounds, with what is left.
+        hit = nodes.select("node", F.explode("head").alias("key")).join(frequent, "key")
+        hit = hit.groupBy("node").agg(F.collect_list("key").alias("gone"))
+        rows = nodes.select("node", "n", "head").join(hit, "node")
+        rows = rows.withColumn("rare", F.array_except("head", "gone"))
+        rows = rows.where(F.size(F.array_intersect(first, "gone")) > 0)
+        dense = F.size("rare") < F.least(need, F.col("n").cast("int"))
+        new = F.array_except(F.slice("rare", F.lit(1), need), first)
+        rows = rows.select("node", "n", "rare", dense.alias("dense"), new.alias("new"))
+        current = work.replace(rows, "rare")
+        changed = current.where("NOT dense").select("node", F.explode("new").alias("key"))
     if frequent is None:
-        frequent = nodes.sparkSession.createDataFrame([], "key long")
-    keys = current.where("NOT dense").select(
-        "node", "n", F.explode(F.slice("rare", F.lit(1), need)).alias("key")
+        none = nodes.sparkSession.createDataFrame([], "key long")
+        return nodes.select("node", "n", F.explode(first).alias("key")), nodes.limit(0).select("node"), none
+    others = nodes.join(checked(current.select("node")), "node", "left_anti")
+    keys = others.select("node", "n", F.explode(first).alias("key")).unionByName(
+        current.where("NOT dense").select(
+            "node", "n", F.explode(F.slice("rare", F.lit(1), need)).alias("key")
+        )
     )
     return keys, current.where("dense").select("node"), frequent
 
@@ -247,12 +256,15 @@ def few_pairs(keys: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, nodes: DataFrame, work: Workspace, percent: int) -> DataFrame:
     """Pairs whose first tokens do not rule a link out.
 
     Of two sets that link, each lacks at most its size less the least overlap. So of the head that
     ends first, all tokens but these are in the other's head.
     """
+    ids = work.keep(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
+    nodes = nodes.select("node", "n", "head").join(checked(ids), "node", "left_semi")
+    nodes = work.keep(nodes, "heads")
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("head").alias("ha"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("head").alias("hb"))
     overlap = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
@@ -301,6 +313,20 @@ def differences(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("linked", linked(inter, F.col("np"), size, percent))
 
 
+def hub_pairs(parts: DataFrame, percent: int) -> DataFrame:
+    """The same groups around another pivot: the set that differs least from the first one. In a group
+    of edited copies that is what they were copied from, which most of them link with."""
+    u = 100 * F.size("less") + percent * F.size("more")
+    hubs = parts.groupBy("pivot").agg(F.min(F.struct(u.alias("u"), "node")).alias("hub"))
+    hubs = hubs.select(F.col("hub.node").alias("hub"), "pivot")
+    members = parts.select("pivot", "node").union(hubs.select("pivot", "pivot"))
+    pairs = members.join(hubs, "pivot").where("node <> hub")
+    return pairs.select(F.col("hub").alias("pivot"), "node").distinct()
+
+
+SIDES = ("node", "u", "size", "n")
+
+
 def overlap_pairs(parts: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
     """Links between sets of one pivot that do not both link with it, by their differences.
 
@@ -314,7 +340,6 @@ def overlap_pairs(parts: DataFrame, frequent: DataFrame, percent: int) -> DataFr
     size = F.size("less") + F.size("more")
     own = F.floor(u / whole) + 1
     far = F.greatest(F.ceil((u - slack) / hundred), F.lit(1))
-    need = F.when(F.col("linked"), own).otherwise(far)
     # Rare tokens that a set has more come first, then frequent ones, then those it lacks.
     extra = parts.select("pivot", "node", F.explode("more").alias("key")).join(frequent, "key")
     extra = extra.groupBy("pivot", "node").agg(F.array_sort(F.collect_list("key")).alias("common"))
@@ -326,15 +351,31 @@ def overlap_pairs(parts: DataFrame, frequent: DataFrame, percent: int) -> DataFr
         F.transform("common", lambda t: F.xxhash64(t, F.lit(1))),
         F.transform("less", lambda t: F.xxhash64(t, F.lit(0))),
     )
-    head = F.slice(signed, F.lit(1), F.greatest(size - need + 1, F.lit(0)).cast("int"))
-    rows = rows.select("pivot", "node", "linked", head.alias("head"))
-    index = rows.select("pivot", "node", "linked", F.explode("head").alias("key"))
-    far_ones = index.where("NOT linked").select("pivot", "key", F.col("node").alias("a"))
-    others = index.select("pivot", "key", F.col("node").alias("b"), F.col("linked").alias("b_linked"))
-    pairs = far_ones.join(others, ["pivot", "key"]).where(
-        (F.col("a") < F.col("b")) | (F.col("b_linked") & (F.col("a") != F.col("b")))
-    )
-    pairs = pairs.select("pivot", "a", "b").distinct()
+
+    def head(need: Column) -> Column:
+        return F.slice(signed, F.lit(1), F.greatest(size - need + 1, F.lit(0)).cast("int"))
+
+    n = F.col("np") - F.size("less") + F.size("more")
+    measures = [u.alias("u"), size.alias("size"), n.alias("n"), slack.alias("slack")]
+    kept = ["pivot", "node", *measures]
+    # Two sets that both do not link with the pivot share more than u of either. One that does not and
+    # one that does share more than u of the latter, but perhaps less of the former.
+    both_far = rows.where("NOT linked").select(*kept, F.explode(head(own)).alias("key"))
+    one_far = rows.where("NOT linked").select(*kept, F.explode(head(far)).alias("key"))
+    one_near = rows.where("linked").select(*kept, F.explode(head(own)).alias("key"))
+
+    def meet(left: DataFrame, right: DataFrame, once: bool) -> DataFrame:
+        a = left.select("pivot", "key", *(F.col(c).alias(f"{c}_a") for c in SIDES), "slack")
+        b = right.select("pivot", "key", *(F.col(c).alias(f"{c}_b") for c in SIDES))
+        found = a.join(b, ["pivot", "key"]).where(
+            ((F.col("node_a") < F.col("node_b")) if once else F.lit(True))
+            & fits(F.col("n_a"), F.col("n_b"), percent)
+            # even if they share the whole smaller difference
+            & (whole * F.least("size_a", "size_b") >= F.col("u_a") + F.col("u_b") - F.col("slack"))
+        )
+        return found.select("pivot", F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    pairs = meet(both_far, both_far, True).union(meet(one_far, one_near, False)).distinct()
 
     def side(letter: str) -> DataFrame:
         return parts.select(
@@ -389,8 +430,9 @@ def similar_components(
         F.xxhash64(text).alias("_hash"),
         F.col(text).alias("_text"),
     )
-    members = work.keep(signatures(docs, words, percent), "signatures")
-    groups = members.where("n > 0").groupBy("digest").agg(
+    signed = work.keep(signatures(docs, words, percent), "signatures")
+    members = work.keep(signed.select("_id", "_hash", "n", "digest"), "members")
+    groups = signed.where("n > 0").groupBy("digest").agg(
         F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_hash")).alias("rep"),
         F.count(F.lit(1)).alias("copies"),
         F.first("n").alias("n"),
@@ -398,6 +440,8 @@ def similar_components(
     )
     nodes = groups.withColumn("node", F.monotonically_increasing_id())
     nodes = work.keep(nodes, "nodes")
+    work.forget("signatures")
+    work.tidy()
     # A set this small has no similar one but itself.
     alone = -(-percent // (100 - percent))
     large = nodes.where(F.col("n") >= alone)
@@ -424,13 +468,18 @@ def links_between(
     are only the links with it."""
     keys, dense, frequent = token_keys(nodes, percent, work)
     dense = work.keep(dense, "dense")
-    dense_sets = work.keep(fetch_sets(docs, nodes, dense, words), "dense-sets")
+    dense_sets = work.keep(fetch_sets(docs, nodes, dense, work, words), "dense-sets")
     keys = keys.unionByName(dense_keys(dense_sets, frequent, percent))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    shared = work.keep(keys.join(work.keep(counts, "counts"), "key"), "shared")
+    counts = work.keep(counts, "counts")
+    work.tidy()
+    shared = work.keep(keys.join(counts, "key"), "shared")
+    work.forget("rare")
+    work.tidy()
     few, many = F.col("sets") <= FEW_SETS, F.col("sets") > FEW_SETS
-    pairs = few_pairs(shared.where(few).drop("sets"), percent)
-    pairs = work.keep(plausible(pairs, nodes, percent), "pairs")
+    pairs = work.keep(few_pairs(shared.where(few).drop("sets"), percent), "key-pairs")
+    pairs = work.keep(plausible(pairs, nodes, work, percent), "pairs")
+    work.forget("heads")
     weights = nodes.select("node", "copies")
     stars = work.keep(star_pairs(shared.where(many).drop("sets"), weights, work), "stars")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(
@@ -438,9 +487,19 @@ def links_between(
     )
     wanted = wanted.distinct().join(dense, "node", "left_anti")
     wanted = work.keep(wanted, "wanted")
-    sets = dense_sets.unionByName(fetch_sets(docs, nodes, wanted, words))
+    work.tidy()
+    sets = dense_sets.unionByName(fetch_sets(docs, nodes, wanted, work, words))
     sets = work.keep(sets, "sets")
+    work.forget("dense-sets")
+    work.tidy()
+    exact = work.keep(verified(pairs, sets, percent), "verified")
+    work.tidy()
     parts = work.keep(differences(stars, sets, percent), "differences")
-    near = parts.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    across = overlap_pairs(parts, frequent, percent)
-    return verified(pairs, sets, percent).union(near).union(across).distinct()
+    work.tidy()
+    hubs = work.keep(hub_pairs(parts, percent), "hubs")
+    round_hubs = work.keep(differences(hubs, sets, percent), "differences-from-hubs")
+    work.tidy()
+    near = parts.where("linked").union(round_hubs.where("linked"))
+    near = near.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    across = overlap_pairs(round_hubs, frequent, percent)
+    return exact.union(near).union(across).distinct()
