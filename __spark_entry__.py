@@ -664,9 +664,11 @@ def q_amounts_without_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_failed_ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A FAILED row for every day's file, with its user ids as an error message, cut to length."""
+    """A FAILED row for every day's file, with its event ids as an error message, cut to length."""
+    ids = F.array_sort(F.collect_list("event_id"))
+    long_ids = F.transform(ids, lambda e: F.repeat(e.cast("string"), F.lit(400)))
     files = event_files(spark, sf_dir).groupBy("source_file", "source_date", "event_type").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("event_id")), lambda e: F.repeat(e.cast("string"), F.lit(400))), ",").alias("error")
+        F.array_join(long_ids, ",").alias("error")
     )
     files = files.select(
         "*",
@@ -725,9 +727,11 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def training_data():
     """The registry of the training-data operators, or None where that subpackage is not installed."""
-    if importlib.util.find_spec("tidemill.llm") is None:
-        return None
-    return importlib.import_module("tidemill.llm.registry")
+    try:
+        found = importlib.util.find_spec("tidemill.llm.registry")
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module("tidemill.llm.registry") if found else None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

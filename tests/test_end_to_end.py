@@ -222,6 +222,19 @@ def test_reports(world):
     assert rows == sum(len(rows) for files in BATCHES.values() for _, rows in files)
 
 
+def test_the_newest_line_is_noted_and_the_fact_not_read_for_it(world):
+    spark, mart = world.spark, world.mart
+    path = mart.note(spark, build_module.CURRENT)
+    newest = world.fact().agg(F.max("order_line_modified_at").cast("string")).first()[0]
+    assert build_module.noted_newest(spark, mart, path) == newest
+    assert build_module.noted_newest(spark, mart, "elsewhere") is None
+    lines = world.history(ORDER_LINE)
+    changed = build_module.changed_lines(lines, mart, path)
+    assert changed.isEmpty()
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert "fact_sales" not in plan and "GreaterThan(modified_at" in plan
+
+
 def test_relations_answer_sql(world):
     register_views({t: world.mart.read(world.spark, t) for t in ("fact_sales", "dim_customer")})
     sold = world.spark.sql(

@@ -73,6 +73,7 @@ class Entity:
         return self.schema.fieldNames()
 
 
+# The four entities, their columns, types, keys and cleaning.
 CUSTOMER = Entity(
     source="crm",
     table="customer",
