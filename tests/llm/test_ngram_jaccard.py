@@ -116,3 +116,15 @@ def test_components_of_a_long_path(spark, work):
     )
     labels = connected(nodes, links, work).collect()
     assert {r.node: r.label for r in labels} == {n: n // 100 * 100 + 7 for n in range(400)}
+
+
+def test_pieces_of_fewer_words_than_an_ngram(spark, work):
+    texts = [" ".join("abcde"[:k]) for k in range(6)]
+    for text in texts:
+        (got,) = ngram_sets(pa.array([text]), 5)
+        assert len(got) == len(grams(text, 5))
+    rows = [(2 * k + copy, text) for k, text in enumerate(texts) for copy in range(2)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    out = similar_components(docs, work, words=5)
+    got = [tuple(r) for r in out.select("_id", "n_shingles", "component_id").collect()]
+    assert sorted(got, key=repr) == brute(rows, 5, 90)

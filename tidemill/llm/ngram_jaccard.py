@@ -75,7 +75,7 @@ def ngram_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     words = _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, len(data) + 1)[starts])
     bounds = np.searchsorted(starts, offsets)
     grams = np.zeros(len(words), np.uint64)
-    for k in range(n):
+    for k in range(min(n, len(words))):
         odd = np.uint64((2 * k + 3) * int(_BASE) % (1 << 64) | 1)
         grams[: len(words) - k] += words[k:] * odd
     grams = _mixed(grams).view(np.int64)  # as Spark orders them
