@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm.mixing import Tempered, mix
@@ -53,3 +54,36 @@ def test_odd_rows(spark, work):
     assert len({r.sampled for r in found if r.doc_id == 2}) == 1
     assert by_id[1].probability == by_id[2].probability
     assert mix(docs_of(spark, []), {"source": given}, F.col("tokens"), work).collect() == []
+
+
+def test_a_cell_without_tokens_lowers_no_probability(spark, work):
+    targets = {"source": Tempered(0.5), "lang": Tempered(0.5)}
+    rows = [*corpus(), (9001, "rare", "en", 1), (9002, "a", "zz", 1)]
+    want = mix(docs_of(spark, rows), targets, F.col("tokens"), work).collect()
+    want = {r.doc_id: r.probability for r in want}
+    found = mix(docs_of(spark, [*rows, (9003, "rare", "zz", 0)]), targets, F.col("tokens"), work)
+    found = {r.doc_id: r.probability for r in found.collect()}
+    assert found.pop(9003) == 1 and found.keys() == want.keys()
+    assert all(abs(found[k] - p) < 1e-9 for k, p in want.items())
+    assert max(want.values()) == 1
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark, work):
+    rows = [(0, "a", "en", 100), (1, "a", "de", 1), (2, "b", "en", 1), (3, "b", "de", 100)]
+    shares = "value string, share double"
+    sources = spark.createDataFrame([("a", 0.6), ("b", 0.4)], shares)
+    langs = spark.createDataFrame([("en", 0.5), ("de", 0.5)], shares)
+    targets = {"source": sources, "lang": langs}
+    mixed = mix(docs_of(spark, rows), targets, F.col("tokens"), work).cache()
+    assert abs(weights(mixed, "source")["a"] - 0.6) < 1e-4
+    assert abs(weights(mixed, "lang")["en"] - 0.5) < 1e-4
+    with pytest.warns(UserWarning, match="after 8 sweeps"):
+        mix(docs_of(spark, rows), targets, F.col("tokens"), work, iterations=8)
+
+
+def test_targets_that_contradict_each_other_end_with_a_warning(spark, work):
+    rows = [(0, "a", "en", 10), (1, "b", "de", 10)]
+    sources = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "value string, share double")
+    targets = {"source": sources, "lang": Tempered(0.0)}
+    with pytest.warns(UserWarning, match="a target is missed"):
+        assert mix(docs_of(spark, rows), targets, F.col("tokens"), work).count() == 2

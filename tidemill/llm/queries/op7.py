@@ -12,12 +12,12 @@ TARGETS = {"source": Tempered(0.7), "lang": Tempered(0.8), "topic": Tempered(0.9
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with their sampling probability, and the sample."""
+    """All documents with their sampling probability, and the sample. The SQL fixes the sweeps."""
     docs = table(spark, sf_dir, "documents")
     docs = docs.select("doc_id", "source", "lang", n_words().alias("tokens"))
     work = Workspace(spark)
     docs = work.keep(with_topic(spark, docs, sf_dir), "documents")
-    mixed = mix(docs, TARGETS, F.col("tokens"), work)
+    mixed = mix(docs, TARGETS, F.col("tokens"), work, iterations=ITERATIONS)
     return mixed.select("doc_id", F.round("probability", 6).alias("probability"), "sampled")
 
 
