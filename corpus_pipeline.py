@@ -24,21 +24,30 @@ TARGETS = {"source": Tempered(0.7), "lang": Tempered(0.8), "topic": Tempered(0.9
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def packed() -> Column:
+    """All columns of the documents as one, so that no working column has the name of one of them."""
+    return F.struct("*").alias("doc")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the base rule and are probably good by the weighed rules."""
-    judged, _ = judge(with_votes(docs), fresh(spark))
-    return judged.where("kept").select(*docs.columns)
+    judged, _ = judge(with_votes(docs.select(packed()), "doc.text"), fresh(spark))
+    return judged.where("kept").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of line runs of 50 words or more; a document that loses all its words to
     that goes. ``n_chars`` follows the text."""
-    left = dedup_lines(docs, fresh(spark), min_words=MIN_RUN_WORDS)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("doc"))
+    left = dedup_lines(rows, fresh(spark), min_words=MIN_RUN_WORDS)
     lost = F.col("n_deleted") > 0
     left = left.where(~lost | F.coalesce(F.trim("text") != "", F.lit(False)))
     left = left.where(~lost | (word_count(F.replace("text", F.lit("\n"), F.lit(" "))) > 0))
-    n_chars = F.when(lost, F.length("text")).otherwise(F.col("n_chars")).alias("n_chars")
-    return left.select(*(n_chars if c == "n_chars" else c for c in docs.columns))
+    own = {c: F.col(f"doc.{c}") for c in others} | {c: F.col(c) for c in ("doc_id", "text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(lost, F.length("text")).otherwise(own["n_chars"])
+    return left.select(*(own[c].alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,21 +61,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # Rows repeated with id and text are one document.
     counts = found.where("first").groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = checked(work.keep(counts.select(key), "repeated"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
+    rows = docs.select(packed(), F.xxhash64("text").alias("own_hash"))
 
     def among(some: DataFrame) -> Column:
-        return rows["doc_id"].eqNullSafe(some["_id"]) & (rows["_hash"] == some["_hash"])
+        return rows["doc.doc_id"].eqNullSafe(some["_id"]) & (rows["own_hash"] == some["_hash"])
 
     single = rows.join(out, among(out), "left_anti").join(repeated, among(repeated), "left_anti")
-    one = Window.partitionBy("doc_id", "_hash").orderBy("text")
+    one = Window.partitionBy("doc.doc_id", "own_hash").orderBy("doc.text")
     many = rows.join(repeated, among(repeated), "left_semi").withColumn("_n", F.row_number().over(one))
-    return single.select(*docs.columns).union(many.where("_n = 1").select(*docs.columns))
+    return single.select("doc.*").union(many.where("_n = 1").select("doc.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that tokens meet the target weights of sources, languages and topics."""
-    mixed = mix(with_topic(spark, docs, sf_dir), TARGETS, n_words(), fresh(spark))
-    return mixed.where("sampled").select(*docs.columns)
+    rows = docs.select("doc_id", "source", "lang", n_words().alias("tokens"), packed())
+    mixed = mix(with_topic(spark, rows, sf_dir), TARGETS, F.col("tokens"), fresh(spark))
+    return mixed.where("sampled").select("doc.*")
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

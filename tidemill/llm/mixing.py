@@ -169,7 +169,8 @@ def mix(
 
 
 def with_topic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the topic that their embedding, if there is one, is labelled with."""
+    """Documents with the topic that their embedding, if there is one, is labelled with; a column
+    topic is replaced."""
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     topics = embeddings.groupBy(F.col("vec_id").alias("doc_id")).agg(F.min("label").alias("topic"))
-    return docs.join(topics.hint("merge"), "doc_id", "left")  # one plan whatever the size
+    return docs.drop("topic").join(topics.hint("merge"), "doc_id", "left")  # one plan whatever the size
