@@ -63,3 +63,9 @@ def test_query_splits_by_checksum(spark, work, tmp_path):
     labelled(spark, 20).select("doc_id", "text", "lang").write.parquet(f"{tmp_path}/documents.parquet")
     for row in op10.query(spark, str(tmp_path)).collect():
         assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
+
+
+def test_languages_of_many_copies_are_learned(spark, work):
+    langs = [f"l{n}" for n in range(8)]
+    few = spark.createDataFrame([(i, prose("aa", i), lang, "x") for i, lang in enumerate(langs)], SCHEMA)
+    assert train(few.crossJoin(spark.range(5000).select()), work).languages == langs

@@ -149,8 +149,10 @@ def train(
         F.col(text).isNotNull() & F.col(lang).isNotNull() & has_letter(F.col(text))
     ).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     # A share of each language by hash first, so that what is ranked does not grow with the table.
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
+    # Copies have one hash, so it is a share of the different texts.
     key, place = F.xxhash64("text"), F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 30))
+    different = rows.select("lang", key.alias("key")).distinct()
+    counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     share = F.lit(4 * DOCS_PER_LANGUAGE * (1 << 30)) / F.col("docs")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     windows = [
