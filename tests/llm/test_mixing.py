@@ -69,7 +69,7 @@ def test_a_cell_without_tokens_lowers_no_probability(spark, work):
 
 
 def test_raking_goes_on_until_the_targets_are_met(spark, work):
-    rows = [(0, "a", "en", 100), (1, "a", "de", 1), (2, "b", "en", 1), (3, "b", "de", 100)]
+    rows = [(0, "a", "en", 1000), (1, "a", "de", 1), (2, "b", "en", 1), (3, "b", "de", 1000)]
     shares = "value string, share double"
     sources = spark.createDataFrame([("a", 0.6), ("b", 0.4)], shares)
     langs = spark.createDataFrame([("en", 0.5), ("de", 0.5)], shares)
