@@ -1,0 +1,95 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tidemill.llm import periodic_runs as module
+from tidemill.llm.periodic_runs import found_in, periodic_runs, shortest_prefix
+
+
+def brute(words, min_length=24, min_exponent=3):
+    """All runs by comparing every word with the one a period further, for every period."""
+    n, out = len(words), {}
+    for p in range(1, n // min_exponent + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j > i and j + p - i >= max(min_length, min_exponent * p):
+                out.setdefault((i, j + p), p)
+            i = max(j, i + 1)
+    return sorted((begin, end - begin, p) for (begin, end), p in out.items())
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, p in runs for i in range(start + p, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def odd_text(random):
+    letters = int(random.integers(1, 5))
+    words = []
+    for _ in range(random.integers(0, 6)):
+        unit = [f"w{x}" for x in random.integers(0, letters, random.integers(1, 14))]
+        words += (unit * 12)[: random.integers(1, 120)]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("min_length, min_exponent", [(24, 3), (10, 2), (5, 4), (1, 3)])
+def test_against_brute_force(min_length, min_exponent):
+    random = np.random.default_rng(min_length)
+    seen = 0
+    for _ in range(60):
+        texts = [odd_text(random) for _ in range(5)] + [None, "", " \n\t"]
+        counts, runs, left = found_in(pa.array(texts), min_length, min_exponent)
+        for text, n, found, rest in zip(texts, counts, runs, left.to_pylist()):
+            words = (text or "").split()
+            expected = brute(words, min_length, min_exponent)
+            assert [tuple(r.values()) for r in found.as_py()] == expected
+            assert n.as_py() == len(words) and rest == collapsed(words, expected)
+            seen += len(expected)
+    assert seen > 50
+
+
+def test_shortest_prefix_is_what_every_run_shares_with_itself():
+    assert shortest_prefix(24, 3) == 16
+    for length in range(1, 60):
+        for p in range(1, length):
+            if length >= max(24, 3 * p):
+                assert length - p >= 16
+
+
+def test_rows_are_apart_and_all_white_space_separates():
+    block = "a b c d e f g h " * 2
+    texts = pa.array([block, block, "x\ty\x0bz\x0c\r\n" * 8 + "x", "é  " * 24])
+    _, runs, left = found_in(texts, 24, 3)
+    assert [len(r) for r in runs] == [0, 0, 1, 1]
+    assert [r["period"].as_py() for r in runs[2]] == [3] and left[2].as_py() == "x y z"
+    assert left[3].as_py() == "é "
+
+
+def test_one_word_throughout_and_sets_merged_by_sorting(monkeypatch):
+    monkeypatch.setattr(module, "FEW", 1)
+    block = ["a"] * 40 + ["b"]
+    texts = pa.array([" ".join(["same"] * 3000), " ".join(block * 30)])
+    _, runs, left = found_in(texts, 24, 3)
+    assert [tuple(r.values()) for r in runs[0].as_py()] == [(0, 3000, 1)]
+    assert [tuple(r.values()) for r in runs[1].as_py()] == brute(block * 30)
+    assert left[0].as_py() == "same"
+
+
+def test_table_with_odd_rows(spark, work, monkeypatch):
+    monkeypatch.setattr(module, "PIECE_BYTES", 300)  # long texts are pieces of their own
+    rows = [(n, odd_text(np.random.default_rng(n)), "r", 1) for n in range(40)]
+    rows += [(None, None, None, None), (7, "", "r", 2), (7, "x y " * 2000, "r", 2), (7, "x y " * 2000, "s", 3)]
+    schema = "doc_id int, text string, runs string, n_words int"
+    found = periodic_runs(spark.createDataFrame(rows, schema).repartition(3))
+    assert found.columns == ["doc_id", "n_words", "runs", "collapsed"]
+    expected = []
+    for doc_id, text, *_ in rows:
+        words = (text or "").split()
+        runs = brute(words)
+        expected.append((str(doc_id), len(words), runs, collapsed(words, runs)))
+    got = [(str(r[0]), r[1], [tuple(x) for x in r[2]], r[3]) for r in found.collect()]
+    assert sorted(got) == sorted(expected)
+    assert periodic_runs(spark.createDataFrame([], schema)).collect() == []

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = [n for n in registered.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in registered.queries()
 
 

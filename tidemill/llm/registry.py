@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemill.llm.common import importable
-from tidemill.llm.queries import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10
+from tidemill.llm.queries import op1, op2, op3, op4, op5, op6, op7, op8, op9, op10, op11, op12, op13
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ MODULES = {
     "op8_url_filter": op8,
     "op9_token_counts": op9,
     "op10_language_id": op10,
+    "op11_centroid_clustering": op11,
+    "op12_decontamination": op12,
+    "op13_periodic_runs": op13,
 }
 
 
