@@ -29,8 +29,6 @@ from tidemill.llm.components import connected
 
 # A key of more sets than this is handled by a pivot.
 FEW_SETS = 32
-# Rounds in which tokens of crowded keys move to the frequent class.
-ROUNDS = 4
 # Sets fetched by broadcasting their ids; more are fetched by a shuffled join.
 BROADCAST_SETS = 200_000
 STEP_BYTES = 1 << 20
@@ -166,45 +164,30 @@ def prefix_column(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100) + 1
 
 
-def crowded(keys: DataFrame) -> DataFrame:
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
-    return counts.where(F.col("sets") > FEW_SETS).select("key")
+def token_keys(
+    nodes: DataFrame, percent: int, work: Workspace
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Keys of the sets that have enough rare tokens, the others, the frequent tokens, and the tokens
+    that the heads of several sets have.
 
-
-def token_keys(nodes: DataFrame, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Keys of the sets that have enough rare tokens, the others, and the frequent tokens.
-
-    All sets start with the prefix of the hash order. Tokens of crowded keys become frequent, and the
-    sets that had them take later tokens instead, as long as they have some at hand.
+    Tokens in the heads of many sets are frequent. A set without any in its head has its prefix as
+    keys; one with some takes later tokens instead, as long as the head has enough.
     """
     need = prefix_column(F.col("n"), percent).cast("int")
-    current = nodes.select("node", "n", F.col("head").alias("rare"), F.lit(False).alias("dense"))
-    frequent, settled = None, None
-    for step in range(ROUNDS):
-        keys = current.where("NOT dense").select(
-            "node", F.explode(F.slice("rare", F.lit(1), need)).alias("key")
-        )
-        found = work.keep(crowded(keys), "crowded")
-        if found.isEmpty():
-            break
-        frequent = found if frequent is None else work.keep(frequent.union(found), "frequent")
-        hit = (
-            current.where("NOT dense")
-            .select("node", F.explode("rare").alias("key"))
-            .join(found, "key")
-            .groupBy("node")
-            .agg(F.collect_list("key").alias("gone"))
-        )
-        rare = F.when(F.col("gone").isNull(), F.col("rare")).otherwise(F.array_except("rare", "gone"))
-        current = current.join(hit, "node", "left").select("node", "n", rare.alias("rare"), "dense")
-        dense = F.col("dense") | (F.size("rare") < F.least(need, F.col("n").cast("int")))
-        current = work.keep(current.withColumn("dense", dense), "rare")
-    if frequent is None:
-        frequent = nodes.sparkSession.createDataFrame([], "key long")
-    keys = current.where("NOT dense").select(
+    tokens = nodes.select("node", F.explode("head").alias("key"))
+    counts = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    counts = work.keep(counts, "token-counts")
+    frequent = work.keep(counts.where(F.col("sets") > FEW_SETS).select("key"), "frequent")
+    gone = tokens.join(frequent, "key").groupBy("node").agg(F.collect_list("key").alias("gone"))
+    rest = F.array_except("head", "gone")
+    hit = nodes.join(gone, "node").select("node", "n", rest.alias("rare"))
+    hit = work.keep(hit, "hit")
+    scarce = F.size("rare") < F.least(need, F.col("n").cast("int"))
+    whole = nodes.join(hit.select("node"), "node", "left_anti").select("node", "n", F.col("head").alias("rare"))
+    keys = whole.unionByName(hit.where(~scarce)).select(
         "node", "n", F.explode(F.slice("rare", F.lit(1), need)).alias("key")
     )
-    return keys, current.where("dense").select("node"), frequent
+    return keys, hit.where(scarce).select("node"), frequent, counts.select("key")
 
 
 def dense_keys(sets: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
@@ -306,40 +289,80 @@ def differences(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("linked", linked(inter, F.col("np"), size, percent))
 
 
-def overlap_pairs(parts: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
+def overlap_pairs(parts: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """Links between sets of one pivot that do not both link with it, by their differences.
 
-    With c = percent / (100 + percent), a = |less|, e = |more| and u = (1 - c) a + c e, two sets link if
-    and only if their differences share u + u' - (1 - 2c) np or more, and a set links with the pivot if
-    u is at most (1 - 2c) np. All is in whole numbers below, times 100 + percent.
+    With a = |less|, e = |more|, u = 100 a + percent e and slack = (100 - percent) np, two sets link if
+    and only if their differences share (u + u' - slack) / (100 + percent) or more, and a set links
+    with the pivot if u is at most slack. So a set that does not (a far one) shares more than
+    u / (100 + percent) with another far one, and so does one that links with the pivot with a far
+    one. Any two share at least (u - slack) / 100, as u' is percent or more for each shared token, and no
+    more than either has. Tokens are ordered by how many of the pivot's sets
+    have them, and those that one set alone has are in no prefix.
     """
-    hundred, whole = 100, 100 + percent
-    u = hundred * F.size("less") + percent * F.size("more")
-    slack = (whole - 2 * percent) * F.col("np")
+    whole = 100 + percent
     size = F.size("less") + F.size("more")
-    own = F.floor(u / whole) + 1
-    far = F.greatest(F.ceil((u - slack) / hundred), F.lit(1))
-    need = F.when(F.col("linked"), own).otherwise(far)
-    # Rare tokens that a set has more come first, then frequent ones, then those it lacks.
-    extra = parts.select("pivot", "node", F.explode("more").alias("key")).join(frequent, "key")
-    extra = extra.groupBy("pivot", "node").agg(F.array_sort(F.collect_list("key")).alias("common"))
-    rows = parts.join(extra, ["pivot", "node"], "left").withColumn(
-        "common", F.coalesce("common", F.array().cast("array<bigint>"))
+    rows = parts.withColumn("u", 100 * F.size("less") + percent * F.size("more")).select(
+        "pivot", "node", "linked", "u", size.alias("size"),
+        ((100 - percent) * F.col("np")).alias("slack"),
+        F.concat(
+            F.transform("more", lambda t: F.xxhash64(t, F.lit(1))),
+            F.transform("less", lambda t: F.xxhash64(t, F.lit(0))),
+        ).alias("signed"),
+    )
+    # Without a far set there is nothing to find.
+    some = work.keep(parts.where("NOT linked").select("pivot").distinct(), "far-pivots")
+    rows = rows.join(some, "pivot", "left_semi")
+    reach = rows.where("linked").groupBy("pivot").agg(
+        F.max(whole * F.col("size") - F.col("u")).alias("reach")
+    )
+    tokens = rows.select("pivot", "node", F.explode("signed").alias("key"))
+    counts = tokens.groupBy("pivot", "key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    counts = work.keep(counts, "difference-counts")
+    shared = tokens.join(counts, ["pivot", "key"]).groupBy("pivot", "node").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "key"))).alias("shared")
     )
-    signed = F.concat(
-        F.transform(F.array_except("more", "common"), lambda t: F.xxhash64(t, F.lit(1))),
-        F.transform("common", lambda t: F.xxhash64(t, F.lit(1))),
-        F.transform("less", lambda t: F.xxhash64(t, F.lit(0))),
+    rows = rows.drop("signed").join(shared, ["pivot", "node"]).join(reach, "pivot", "left")
+    alone = F.col("size") - F.size("shared")
+
+    def head(need: Column) -> Column:
+        room = F.greatest(F.col("size") - need + 1 - alone, F.lit(0)).cast("int")
+        return F.transform(F.slice("shared", F.lit(1), room), lambda t: t["key"])
+
+    beyond = F.col("u") - F.col("slack")
+    with_far, with_any = F.floor(F.col("u") / whole) + 1, F.ceil(beyond / 100)
+    rows = rows.select(
+        "pivot", "node", "linked", "u", "size", "slack", alone.alias("alone"),
+        head(F.greatest(with_far, with_any)).alias("own"),
+        F.when(
+            ~F.col("linked") & (beyond <= F.col("reach")), head(F.greatest(with_any, F.lit(1)))
+        ).alias("far"),
     )
-    head = F.slice(signed, F.lit(1), F.greatest(size - need + 1, F.lit(0)).cast("int"))
-    rows = rows.select("pivot", "node", "linked", head.alias("head"))
-    index = rows.select("pivot", "node", "linked", F.explode("head").alias("key"))
-    far_ones = index.where("NOT linked").select("pivot", "key", F.col("node").alias("a"))
-    others = index.select("pivot", "key", F.col("node").alias("b"), F.col("linked").alias("b_linked"))
-    pairs = far_ones.join(others, ["pivot", "key"]).where(
-        (F.col("a") < F.col("b")) | (F.col("b_linked") & (F.col("a") != F.col("b")))
+    rows = work.keep(rows, "difference-heads")
+
+    def index(which: DataFrame, letter: str, heads: str) -> DataFrame:
+        return which.select(
+            "pivot",
+            F.explode(heads).alias("key"),
+            F.col("node").alias(letter),
+            F.col("u").alias(f"u_{letter}"),
+            F.col("size").alias(f"size_{letter}"),
+            (F.col("size") - F.col("alone") - F.size(heads)).alias(f"rest_{letter}"),
+            *(["slack"] if letter == "a" else []),
+        )
+
+    far, near = rows.where("NOT linked"), rows.where("linked")
+    least = F.col("u_a") + F.col("u_b") - F.col("slack")
+    can_link = least <= whole * F.least("size_a", "size_b")
+    among = index(far, "a", "own").join(index(far, "b", "own"), ["pivot", "key"]).where("a < b")
+    across = index(far, "a", "far").join(index(near, "b", "own"), ["pivot", "key"])
+    # What two share is in both heads, but for what comes behind the head that ends first.
+    more = whole * F.greatest("rest_a", "rest_b")
+    found = among.union(across).where(can_link).groupBy("pivot", "a", "b").agg(
+        F.count(F.lit(1)).alias("both"), F.first(least - more).alias("missing")
     )
-    pairs = pairs.select("pivot", "a", "b").distinct()
+    found = found.where(whole * F.col("both") >= F.col("missing"))
+    pairs = work.keep(found.select("pivot", "a", "b"), "overlaps")
 
     def side(letter: str) -> DataFrame:
         return parts.select(
@@ -430,17 +453,26 @@ def links_between(
 ) -> DataFrame:
     """Links (a, b) that connect all that is connected; between sets that link with one pivot there
     are only the links with it."""
-    keys, dense, frequent = token_keys(nodes, percent, work)
+    keys, dense, frequent, several = token_keys(nodes, percent, work)
     dense = work.keep(dense, "dense")
     dense_sets = work.keep(fetch_sets(docs, nodes, dense, words), "dense-sets")
-    keys = keys.unionByName(dense_keys(dense_sets, frequent, percent))
+    more_keys = work.keep(dense_keys(dense_sets, frequent, percent), "dense-keys")
+    # A token of one head alone is a key of two sets only if a dense one has it, too.
+    known = several.union(more_keys.select("key"))
+    keys = work.keep(keys.join(known, "key", "left_semi").unionByName(more_keys), "keys")
+    for name in ("token-counts", "hit", "dense-keys"):
+        work.forget(name)
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     shared = work.keep(keys.join(work.keep(counts, "counts"), "key"), "shared")
+    work.forget("keys")
+    work.forget("counts")
     few, many = F.col("sets") <= FEW_SETS, F.col("sets") > FEW_SETS
     pairs = few_pairs(shared.where(few).drop("sets"), percent)
     pairs = work.keep(plausible(pairs, nodes, percent), "pairs")
     weights = nodes.select("node", "copies")
     stars = work.keep(star_pairs(shared.where(many).drop("sets"), weights, work), "stars")
+    work.forget("shared")
+    work.forget("pivots")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(
         stars.select(F.explode(F.array("pivot", "node")))
     )
@@ -451,5 +483,5 @@ def links_between(
     work.tidy()
     parts = work.keep(differences(stars, sets, percent), "differences")
     near = parts.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    across = overlap_pairs(parts, frequent, percent)
+    across = overlap_pairs(parts, percent, work)
     return verified(pairs, sets, percent).union(near).union(across).distinct()
