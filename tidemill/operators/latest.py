@@ -31,10 +31,20 @@ def total_order(history: DataFrame, keys: Sequence[str], leading: Sequence[str])
 
 def current_state(history: DataFrame, entity: Entity) -> DataFrame:
     """Latest cleaned version of every business key, with lineage but without the file name."""
+    return cleaned_state(latest_versions(history, entity), entity)
+
+
+def latest_versions(history: DataFrame, entity: Entity) -> DataFrame:
+    """Latest version of every business key, as it is in ``history``. What is latest does not depend
+    on how history is cut: the latest of several parts' latest versions is the latest of them all."""
     order = total_order(history, [entity.key], VERSION_ORDER)
-    latest = latest_per_key(history, [entity.key], order)
+    return latest_per_key(history, [entity.key], order)
+
+
+def cleaned_state(latest: DataFrame, entity: Entity) -> DataFrame:
+    """Latest versions with cleaned columns, without the file name."""
     return latest.select(
-        *(cleaned(c, entity.clean.get(c)) for c in history.columns if c != "_source_file")
+        *(cleaned(c, entity.clean.get(c)) for c in latest.columns if c != "_source_file")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +129,8 @@ def read_files(spark: SparkSession, *paths: str, **options: str | bool) -> DataF
     job; columns of conflicting types raise."""
     try:
         return spark.read.options(mergeSchema=True, **options).parquet(*paths)
-    except PySparkException as error:
-        if (error.getCondition() or "").startswith("CANNOT_MERGE"):
+    except (PySparkException, Py4JJavaError) as error:
+        # Spark wraps the conflict that the merging job met.
+        if "CANNOT_MERGE" in str(error):
             raise SchemaDrift(str(error)) from error
         raise
