@@ -12,19 +12,23 @@ import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries
 from tidemill.contracts import (
     CHECKS,
+    ENTITIES,
     FAILED,
     FILE_NAME_PATTERN,
+    LINEAGE,
     PERCENT,
     PRICE,
     SUCCESS,
@@ -56,7 +60,9 @@ from tidemill.plans.archive import (
     reconcile,
     write_archive,
 )
-from tidemill.plans.ingest import ingest_new_files
+from tidemill.plans.build import FACT
+from tidemill.plans.ingest import ingest_new_files, tag_lineage
+from tidemill.plans.snapshot import build_snapshot, current_rows, current_table, merge_current
 from tidemill.plans.star import (
     dim_customer,
     dim_date,
@@ -67,7 +73,15 @@ from tidemill.plans.star import (
 )
 from tidemill.session import work_dir, written
 from tidemill.sources.files import SchemaDrift, archive_path, classify_files
-from tidemill.sources.tables import ARCHIVE_LOG, Lakehouse, append, committed_history, prepare
+from tidemill.sources.snapshots import Store
+from tidemill.sources.tables import (
+    ARCHIVE_LOG,
+    Lakehouse,
+    append,
+    committed_history,
+    prepare,
+    write_batch,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -626,6 +640,12 @@ def q_ingest_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_current_state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as versions of their order: times tie all year, the later path wins, then the columns."""
+    history, entity = order_versions(spark, sf_dir)
+    return current_state(history, entity)
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Entity]:
     """Lines as versions of their order: times tie all year, the later path wins, then the columns."""
     history = _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
@@ -638,8 +658,74 @@ def q_current_state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_source_file"
         ),
     )
-    entity = Entity("erp", "line", history.schema, "order_id", {"flag": "lower"})
-    return current_state(history, entity)
+    return history, Entity("erp", "line", history.schema, "order_id", {"flag": "lower"})
+
+
+def q_current_state_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current state of ``current_state_files``, out of a table that three parts of the history
+    were merged into one after the other, so that late versions and ties come in any order."""
+    history, entity = order_versions(spark, sf_dir)
+    store = Store(spark, f"{work_dir(spark)}/store")
+    for part in range(3):
+        base = store.current()
+        rows = history.where(F.pmod(F.xxhash64("product_id", "quantity"), F.lit(3)) == part)
+        merged = merge_current(store, base, entity, rows, width=10_000)
+        store.publish(base, {current_table(entity): merged})
+    return current_rows(spark, store.current(), entity)
+
+
+def retail_entities() -> tuple[Entity, ...]:
+    """The entities with the key and time types of the driver's tables."""
+    types = {"integer": LongType(), "timestamp": TimestampNTZType()}
+
+    def wide(field: StructField) -> StructField:
+        key = field.name.endswith("_id") or field.dataType.typeName() == "timestamp"
+        kind = types.get(field.dataType.typeName(), field.dataType) if key else field.dataType
+        return StructField(field.name, kind)
+
+    return tuple(replace(e, schema=StructType(list(map(wide, e.schema)))) for e in ENTITIES)
+
+
+def load_history(
+    spark: SparkSession, lake: Lakehouse, entity: Entity, rows: DataFrame, batch: str
+) -> None:
+    """Rows as a loaded batch of an entity: in its history, and in the ledger."""
+    file, now = f"{entity.source}/{entity.table}/{batch}", datetime.now(timezone.utc)
+    lineage = {"_source_file": file, "_source_date": now.date(), "_load_type": "incremental"}
+    tagged = tag_lineage(rows.withColumns({k: F.lit(v) for k, v in lineage.items()}), batch, now)
+    columns = (*entity.schema.fields, *LINEAGE.fields)
+    held = {f.name: F.col(f.name) if f.name in tagged.columns else F.lit(None) for f in columns}
+    tagged = tagged.select(*(held[f.name].cast(f.dataType).alias(f.name) for f in columns))
+    write_batch(tagged, lake.history(entity), batch)
+    files = spark.createDataFrame(
+        [(file, entity.source, entity.table, now.date(), "incremental")],
+        "source_file string, source_name string, table_name string, source_date date, load_type string",
+    )
+    append(ledger_rows(files, batch, now, now, SUCCESS, F.lit(None)), lake.ledger)
+
+
+def q_star_in_two_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star built in full from the lines up to the cut and all else, then brought up to
+    date by the batch of later lines; each build is published in one step."""
+    root = work_dir(spark)
+    lake = Lakehouse(location=f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
+    entities = {e.table: e for e in retail_entities()}
+    prepare(spark, lake, tuple(entities.values()))
+    customers = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name")
+    )
+    products = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
+    )
+    lines, cut = order_line_history(spark, sf_dir), F.lit(CUT).cast("timestamp_ntz")
+    load_history(spark, lake, entities["customer"], customers, "first")
+    load_history(spark, lake, entities["product"], products, "first")
+    load_history(spark, lake, entities["orders"], orders_table(spark, sf_dir), "first")
+    load_history(spark, lake, entities["order_line"], lines.where(F.col("modified_at") <= cut), "first")
+    store = Store(spark, f"{root}/store")
+    build_snapshot(spark, lake, store, width=50_000)
+    load_history(spark, lake, entities["order_line"], lines.where(F.col("modified_at") > cut), "second")
+    return build_snapshot(spark, lake, store, width=50_000).read(spark, FACT)
 
 
 def q_watermark_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -723,6 +809,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_roundtrip": q_ingest_roundtrip,
         "ingest_with_drift": q_ingest_with_drift,
         "current_state_files": q_current_state_files,
+        "current_state_in_steps": q_current_state_in_steps,
+        "star_in_two_builds": q_star_in_two_builds,
         "watermark_default": q_watermark_default,
         "amounts_without_discount": q_amounts_without_discount,
         "failed_ledger_rows": q_failed_ledger_rows,

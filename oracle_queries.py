@@ -254,6 +254,21 @@ def oracle_sql(cut: str, tables: tuple[str, ...]) -> dict[str, str]:
     upserted = f"""{incremental(cut)}
 SELECT t.* FROM target t ANTI JOIN delta d ON t.order_line_id = d.order_line_id
 UNION ALL SELECT * FROM delta"""
+    order_versions = """
+            WITH history AS (
+              SELECT l_orderkey AS order_id, ' ' || l_returnflag || ' ' AS flag,
+                     l_partkey AS product_id, l_quantity AS quantity,
+                     CAST(date_trunc('year', l_shipdate) AS TIMESTAMP) AS modified_at,
+                     TIMESTAMP '2030-01-01' AS _ingested_at,
+                     'erp/' || l_linestatus || '/' || l_linenumber AS _source_file
+              FROM lineitem)
+            SELECT order_id, lower(trim(flag)) AS flag, product_id, quantity, modified_at, _ingested_at
+            FROM history
+            QUALIFY row_number() OVER (
+              PARTITION BY order_id
+              ORDER BY modified_at DESC NULLS LAST, _source_file DESC NULLS LAST,
+                       flag DESC NULLS LAST, product_id DESC NULLS LAST, quantity DESC NULLS LAST
+            ) = 1"""
     return {
         "current_order_lines": f"WITH {LINES},{latest('lines_history', 'cur_lines')} "
         "SELECT * FROM cur_lines",
@@ -384,21 +399,9 @@ FROM events GROUP BY ALL""",
             SELECT source_file, CASE WHEN odd THEN 'lenient' ELSE 'strict' END, 'SUCCESS', n,
                    CASE WHEN odd THEN n ELSE 0 END, NULL
             FROM files""",
-        "current_state_files": """
-            WITH history AS (
-              SELECT l_orderkey AS order_id, ' ' || l_returnflag || ' ' AS flag,
-                     l_partkey AS product_id, l_quantity AS quantity,
-                     CAST(date_trunc('year', l_shipdate) AS TIMESTAMP) AS modified_at,
-                     TIMESTAMP '2030-01-01' AS _ingested_at,
-                     'erp/' || l_linestatus || '/' || l_linenumber AS _source_file
-              FROM lineitem)
-            SELECT order_id, lower(trim(flag)) AS flag, product_id, quantity, modified_at, _ingested_at
-            FROM history
-            QUALIFY row_number() OVER (
-              PARTITION BY order_id
-              ORDER BY modified_at DESC NULLS LAST, _source_file DESC NULLS LAST,
-                       flag DESC NULLS LAST, product_id DESC NULLS LAST, quantity DESC NULLS LAST
-            ) = 1""",
+        "current_state_files": order_versions,
+        "current_state_in_steps": order_versions,
+        "star_in_two_builds": upserted.replace("supplier_id DESC)", "quantity DESC, unit_price DESC, discount_pct DESC)"),
         "watermark_default": """
             SELECT coalesce(max(ts), TIMESTAMP '1900-01-01') AS watermark
             FROM events WHERE value < 0""",
