@@ -11,11 +11,13 @@ import importlib
 import importlib.util
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
@@ -55,6 +57,7 @@ from tidemill.operators.quality import not_null, orphans, relationships, run_che
 from tidemill.operators.upsert import key_range, publish_upsert, upsert, write_ranges
 from tidemill.plans.archive import (
     LAYOUT,
+    archive_landing,
     archive_root,
     layout_columns,
     reconcile,
@@ -574,6 +577,8 @@ def archive_events(lake: Lakehouse, archive: str, entity: Entity, events: DataFr
         "load_type": F.lit("incremental"),
         "size_bytes": F.lit(None),
         "file_schema": F.lit(events.schema.json()),
+        "changed_at": F.lit(None),
+        "content_digest": F.lit(None),
         "status": F.lit(SUCCESS),
         "message": F.lit(None),
         "batch_id": F.lit("landing"),
@@ -607,6 +612,68 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LANDED = "file string, rows long"
+
+
+def land_files(rows: DataFrame, folder: str) -> None:
+    """Write rows to the landing file each one names in ``file_name``. Files are written row group by
+    row group, plainly, so that their size depends on the sizes of the values alone."""
+    columns = [c for c in rows.columns if c != "file_name"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, file, count = None, None, 0
+        Path(folder).mkdir(parents=True, exist_ok=True)
+        for batch in batches:
+            names = batch.column("file_name").to_pylist()
+            cuts = [n for n in range(len(names)) if n == 0 or names[n] != names[n - 1]]
+            for start, stop in zip(cuts, [*cuts[1:], len(names)]):
+                if names[start] != name:
+                    if file:
+                        file.close()
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count])], ["file", "rows"])
+                    name, count = names[start], 0
+                    file = pq.ParquetWriter(
+                        f"{folder}/{name}", batch.select(columns).schema, compression="none", use_dictionary=False
+                    )
+                file.write_batch(batch.select(columns).slice(start, stop - start))
+                count += stop - start
+        if file:
+            file.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count])], ["file", "rows"])
+
+    ordered = rows.repartitionByRange("file_name").sortWithinPartitions("file_name", "event_id")
+    written(ordered.mapInArrow(write, LANDED), f"{work_dir(rows.sparkSession)}/landed")
+
+
+def q_archive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land as a file a day, with a corrupt and an empty file besides, and are archived; then
+    every file lands again, those of odd days with another value of the same size. What the log says
+    of each file in both runs."""
+    events = _table(spark, sf_dir, "events")
+    entity = Entity(source="web", table="events", key="event_id", schema=events.schema)
+    lake, archive = event_archive(spark, events, entity)
+    landing = archive.removesuffix("archive") + "landing"
+    folder = f"{landing}/web/events"
+    name = F.format_string("events_%s_incremental.parquet", F.date_format("ts", "yyyyMMdd"))
+    odd = F.dayofmonth("ts") % 2 == 1
+    changed = events.withColumn("event_id", F.when(odd, -F.col("event_id")).otherwise(F.col("event_id")))
+    for batch, rows in (("first", events), ("second", changed)):
+        land_files(rows.withColumn("file_name", name), folder)
+        Path(f"{folder}/events_19000101_full.parquet").write_bytes(b"PAR1 no footer PAR1")
+        Path(f"{folder}/events_19000102_full.parquet").write_bytes(b"")
+        archive_landing(spark, lake, landing, archive, (entity,), batch, datetime.now(timezone.utc))
+    log = spark.table(lake.archive_log)
+    return log.select(
+        F.col("batch_id").alias("batch"),
+        "file_name",
+        "source_date",
+        "load_type",
+        "status",
+        "rows_archived",
+        F.coalesce(F.col("message").contains("other content"), F.lit(False)).alias("conflict"),
+    )
+
+
 def q_ingest_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of every other day have a column more. A strict run loads the plain ones and refuses the
     others, a lenient one loads the rest; per file and batch what the ledger and history say."""
@@ -808,6 +875,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "archive_partitions": q_archive_partitions,
         "ingest_roundtrip": q_ingest_roundtrip,
         "ingest_with_drift": q_ingest_with_drift,
+        "archive_landing": q_archive_landing,
         "current_state_files": q_current_state_files,
         "current_state_in_steps": q_current_state_in_steps,
         "star_in_two_builds": q_star_in_two_builds,

@@ -401,7 +401,22 @@ FROM events GROUP BY ALL""",
             FROM files""",
         "current_state_files": order_versions,
         "current_state_in_steps": order_versions,
-        "star_in_two_builds": upserted.replace("supplier_id DESC)", "quantity DESC, unit_price DESC, discount_pct DESC)"),
+        "archive_landing": """
+            WITH files AS (
+              SELECT CAST(ts AS DATE) AS source_date, 'incremental' AS load_type, count(*) AS n
+              FROM events GROUP BY ALL
+              UNION ALL VALUES (DATE '1900-01-01', 'full', NULL), (DATE '1900-01-02', 'full', NULL))
+            SELECT b.batch, 'events_' || strftime(source_date, '%Y%m%d') || '_' || load_type
+                     || '.parquet' AS file_name,
+                   source_date, load_type,
+                   CASE WHEN n IS NULL OR (batch = 'second' AND day(source_date) % 2 = 1)
+                        THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                   CASE WHEN batch = 'first' OR day(source_date) % 2 = 0 THEN n END AS rows_archived,
+                   n IS NOT NULL AND batch = 'second' AND day(source_date) % 2 = 1 AS conflict
+            FROM files, (VALUES ('first'), ('second')) b(batch)""",
+        "star_in_two_builds": upserted.replace(
+            "supplier_id DESC)", "quantity DESC, unit_price DESC, discount_pct DESC)"
+        ),
         "watermark_default": """
             SELECT coalesce(max(ts), TIMESTAMP '1900-01-01') AS watermark
             FROM events WHERE value < 0""",

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidemill.contracts import FILE_DATE_FORMAT, FILE_NAME_PATTERN, Entity
+from tidemill.session import written
 
 MANIFEST = StructType(
     [
@@ -124,6 +131,76 @@ def check_schema(found: StructType, entity: Entity, allow_new_columns: bool = Fa
         raise SchemaDrift(f"{entity.name}: {'; '.join(problems)}")
 
 
+FOOTERS = "uri string, footer string, error string"
+# Footers a task reads at a time.
+FOOTER_THREADS = 16
+# Footers a task has to read, so that it is worth starting.
+FOOTERS_PER_TASK = 64
+# File systems that tasks can open without Spark.
+OWN_SCHEMES = ("", "file", "s3", "s3a", "s3n", "hdfs", "gs", "gcs", "abfs", "abfss")
+SPARK_COLUMNS = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def footer_text(uri: str) -> str:
+    """All of a file's footer that its columns depend on. Raises if there is no such file."""
+    scheme, _, rest = uri.partition(":") if re.match("[A-Za-z][A-Za-z0-9+.-]*:", uri) else ("", "", uri)
+    if scheme in ("", "file"):
+        system, path = pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        system, path = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+    with system.open_input_file(path) as source:
+        found = pq.read_metadata(source)
+    own = (found.metadata or {}).get(SPARK_COLUMNS, b"").decode()
+    return f"{found.schema.to_arrow_schema().to_string()}\n{str(found.schema).partition(chr(10))[2]}\n{own}"
+
+
+def _footer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(uri: str) -> tuple[str | None, str | None]:
+        try:
+            return footer_text(uri), None
+        except Exception as failure:  # a corrupt file can fail in any way
+            return None, f"cannot be read: {failure}"
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        for batch in batches:
+            texts, errors = zip(*pool.map(look, batch.column(0).to_pylist()))
+            columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["uri", "footer", "error"])
+
+
+def file_schemas(
+    spark: SparkSession, uris: Sequence[str], path: str
+) -> dict[str, tuple[str | None, str | None]]:
+    """The schema of each file, or why it cannot be read.
+
+    Footers are read by tasks and written to ``path``. To the driver come a digest for each file, and
+    one file of each different footer, which Spark reads the columns of: it does so for as many files
+    as there are ways to be written, not for every file.
+    """
+    tasks = -(-len(uris) // FOOTERS_PER_TASK)
+    most = max(1, spark.sparkContext.defaultParallelism * 4)
+    listed = spark.createDataFrame([(u,) for u in uris], "uri string").repartition(
+        max(1, min(tasks, most))
+    )
+    found = written(listed.mapInArrow(_footer_rows, FOOTERS), path)
+    found = found.select("uri", F.md5("footer").alias("kind"), "error")
+    rows = found.collect()
+    files: dict[str, list[str]] = {}
+    for row in sorted(rows):
+        if row.kind is not None:
+            files.setdefault(row.kind, []).append(row.uri)
+    out: dict[str, tuple[str | None, str | None]] = {r.uri: (None, r.error) for r in rows}
+    for uris_of_kind in files.values():
+        schema = None
+        for uri in uris_of_kind:  # the first one, unless it went away
+            try:
+                schema = schema or spark.read.parquet(uri).schema.json()
+                out[uri] = schema, None
+            except (PySparkException, Py4JJavaError) as failure:
+                out[uri] = None, f"cannot be read: {failure}"
+    return out
+
+
 def read_files(spark: SparkSession, *paths: str, **options: str | bool) -> DataFrame:
     """One scan over all ``paths`` with the union of their columns. Footers are merged by a Spark
     job; columns of conflicting types raise."""
