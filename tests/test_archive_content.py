@@ -27,7 +27,7 @@ def test_content_tells_files_of_one_size_apart(loader):
     rows = [customer(n, at(1)) for n in range(5)]
     size = loader.land(GOOD, rows).stat().st_size
     loader.store("first")
-    other = loader.land(GOOD, [*rows[:4], customer(4, at(1), city="Turku")])
+    other = loader.land(GOOD, [customer(n, at(1), city="Turku") for n in range(5)])
     assert other.stat().st_size == size
     later(other)
     with pytest.raises(ArchiveFailed, match="1 file"):
@@ -86,7 +86,7 @@ def test_footers_of_any_writer(spark, tmp_path, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(type(spark.read), "parquet", counted)
         found = file_schemas(spark, [f"file:{f}" for f in files], f"{tmp_path}/footers")
-    assert len([a for a in asked if "footers" not in a]) == 4  # one of each kind
+    assert len([a for a in asked if not a.endswith("/footers")]) == 4  # one of each kind
     for file in files[:-1]:
         schema, error = found[f"file:{file}"]
         if file.name == "d.parquet":
