@@ -1,3 +1,5 @@
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -16,6 +18,12 @@ SCHEMA = "doc_id long, text string, start string, ids string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def literal_tokenizer():
+    """One that takes the strings of special tokens as ordinary text."""
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
     return tokenizer
@@ -41,6 +49,37 @@ def test_pieces_encode_like_whole_texts(tokenizer):
         assert ids[end - size : end].tolist() == plain(tokenizer, text, 1)
 
 
+def check_texts(own, tokenizer, texts):
+    ids, sizes = own.encode(pa.array(texts, pa.large_string()))
+    expected = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    ends = np.cumsum(sizes)
+    wrong = [
+        t for t, e, n, x in zip(texts, ends, sizes, expected) if ids[e - n : e].tolist() != x.ids + [1]
+    ]
+    assert wrong == []
+
+
+def test_every_letter_before_a_sign(tokenizer):
+    """Some letters are not letters only, once composed."""
+    with open(PATH, encoding="utf-8") as file:
+        own = WordTokenizer(file.read(), 1)
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not 0xD800 <= c < 0xE000]
+    odd = [c for c in letters if not unicodedata.is_normalized("NFC", c)]
+    assert len(odd) > 50
+    few = letters[::23] + odd
+    check_texts(own, tokenizer, [f"{c}{sign} a{c}{sign} {c}" for c in few for sign in ".,!"])
+
+
+def test_special_tokens_and_odd_characters(tokenizer):
+    with open(PATH, encoding="utf-8") as file:
+        own = WordTokenizer(file.read(), 1)
+    random = np.random.default_rng(3)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "a", "B.", " ", "\n", ","]
+    parts += ["\u095e", "\u0958.", "\u0344", "\u1e9b\u0323", "İ", "Σ", "\u00a0", "\u2028", "é", "1"]
+    texts = ["".join(random.choice(parts, random.integers(0, 12))) for _ in range(6000)]
+    check_texts(own, tokenizer, texts)
+
+
 def test_files_give_back_what_was_written(spark, work, tokenizer):
     rows = [(10 - n, t) for n, t in enumerate(TEXTS)] + [(None, "no id")]
     manifest = write_token_files(docs_of(spark, rows), PATH, work, sequence=16)
@@ -117,7 +156,7 @@ def test_broken_file_and_no_files(spark, work, tmp_path, monkeypatch):
         count_tokens(table, 9, "<u2", work).collect()
 
 
-def test_flat_files_of_documents(spark, work, tokenizer):
+def test_flat_files_of_documents(spark, work, literal_tokenizer):
     rows = [(n, t) for n, t in enumerate(TEXTS)] + [(None, "no id")]
     written = write_flat_files(docs_of(spark, rows), PATH, 49407, work)
     files = written.select("path", "bytes").distinct()
@@ -125,6 +164,6 @@ def test_flat_files_of_documents(spark, work, tokenizer):
     found = written.join(counts, ["path", "place"]).collect()
     assert len(found) == len(rows)
     for row in found:
-        assert row.n_tokens == len(plain(tokenizer, dict(rows)[row.doc_id], 0)) - 1
+        assert row.n_tokens == len(plain(literal_tokenizer, dict(rows)[row.doc_id], 0)) - 1
     nothing = write_flat_files(docs_of(spark, []), PATH, 49407, work)
     assert nothing.collect() == []

@@ -42,7 +42,7 @@ def write_flat_files(
     folder = work.path("flat-files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _tokenizer(content.value, separator)
+        coder = _tokenizer(content.value, separator, specials=False)  # no text may hold a separator
         filesystem, root = _filesystem(folder)
         name, sink, size, ids = f"{uuid.uuid4().hex}.tokens", None, 0, []
         for batch in batches:

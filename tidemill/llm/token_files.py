@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -46,21 +47,33 @@ JOINED_WORDS = 256
 MANIFEST = "part int, folder string, file string, documents long, tokens long"
 
 # Texts without these are lower-cased here as the tokenizer would and split at any white space: no
-# control or combining characters, no final sigma, no dotted capital I, no later scripts.
-_COMPLEX = "[\x00-\x08\x0e-\x1f\u0130\u0300-\u036f\u03a3\u0483-\u0489\u0590-\U0010ffff]"
+# control or combining characters, no final sigma, no dotted capital I, no later scripts, and nothing
+# that may be a special token, whose strings are found before letters are made small.
+_COMPLEX = (
+    "[\x00-\x08\x0e-\x1f\u0130\u0300-\u036f\u03a3\u0483-\u0489\u0590-\U0010ffff]|<\\|"
+)
 _ASCII_SPACE = re.compile("[ \t\n\r\f\v]+")
 
 
 # --- tokens --------------------------------------------------------------------------------------
 
 
+def all_letters(word: str) -> bool:
+    """Whether a word is letters only, also once composed and lower-cased: some letters become one
+    and a mark, which a following sign joins."""
+    return word.isalpha() and (
+        word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()
+    )
+
+
 class WordTokenizer:
     """A tokenizers file whose pre-tokenizer drops white space: words between white space do not
     touch each other, so each different word is encoded once and looked up from then on."""
 
-    def __init__(self, content: str, end_id: int):
+    def __init__(self, content: str, end_id: int, specials: bool = True):
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Whether the strings of special tokens in a text stand for these, or are ordinary text.
+        self.tokenizer.encode_special_tokens = not specials
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         size = max(*vocabulary.values(), end_id) + 1
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -79,10 +92,10 @@ class WordTokenizer:
         """Encode words not met before. Words of letters only are one run each, so many of them can
         be encoded as one text and told apart by the mark."""
         # A sign after letters is a token of its own, so such a word is made of two shorter ones.
-        ended = [w for w in words if w[-1] in ".," and w[:-1].isalpha()]
+        ended = [w for w in words if w[-1] in ".," and all_letters(w[:-1])]
         stems = {w[:-1] for w in ended} | {w[-1] for w in ended}
-        plain = [w for w in words if w.isalpha()]
-        plain += [w for w in stems - self.known.keys() - set(plain) if w.isalpha()]
+        plain = [w for w in words if all_letters(w)]
+        plain += [w for w in stems - self.known.keys() - set(plain) if all_letters(w)]
         chunks = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
         encoded = self.tokenizer.encode_batch_fast(list(map(" ".join, chunks)), False, False)
         size = self.dtype.itemsize
@@ -133,14 +146,14 @@ class WordTokenizer:
         return pool.take(places), np.diff(ends[stops + np.arange(len(stops))], prepend=0)
 
 
-_ready: dict[tuple[int, int], WordTokenizer] = {}
+_ready: dict[tuple[int, int, bool], WordTokenizer] = {}
 
 
-def _tokenizer(content: str, end_id: int) -> WordTokenizer:
-    key = hash(content), end_id
+def _tokenizer(content: str, end_id: int, specials: bool = True) -> WordTokenizer:
+    key = hash(content), end_id, specials
     if key not in _ready:
         _ready.clear()
-        _ready[key] = WordTokenizer(content, end_id)
+        _ready[key] = WordTokenizer(content, end_id, specials)
     return _ready[key]
 
 
@@ -264,7 +277,7 @@ def write_token_files(
     Defined cases: a null or empty text has the end id only; rows with a null id come first; rows
     that share an id are ordered by a hash of their text, and equal rows are all written. Nothing is
     written for an empty table. Other columns are ignored. The strings of special tokens in a text
-    are ordinary text.
+    become these tokens, as the tokenizers library has it.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())  # its size is fixed
