@@ -34,6 +34,8 @@ BLOCK_ROWS = 8192
 STEP = 1 << 20
 # Vectors nearer to each other than this in the file are fetched by one read.
 GAP = 64
+# Share of a dimension's values in either outer cell, and how exactly it is found.
+TAIL, ACCURACY = 0.001, 10_000
 # Squared distances of up to 256 components of this size fit 64 bits.
 LARGEST = 1 << 26
 
@@ -72,23 +74,24 @@ class Cells:
 
 
 def fit_cells(kept: DataFrame, dims: int, bits: int) -> Cells | None:
-    """Cells of each dimension by its approximate quantiles over all vectors; None without vectors.
-    The bounds decide how many vectors must be fetched, never the result."""
-    shares = [(i + 1) / (1 << bits) for i in range((1 << bits) - 1)]
+    """Cells of each dimension over all vectors; None without vectors. All but the outer two are of
+    one width, and about a thousandth of the values are in each of these, so that a few far values
+    do not widen the others. The bounds decide how many vectors are fetched, never the result."""
     columns = []
     for d in range(dims):
         x = F.col("terms")[d]
-        columns += [F.min(x), F.max(x), F.percentile_approx(x, shares, 1 << (bits + 5))]
+        columns += [F.min(x), F.percentile_approx(x, [TAIL, 1 - TAIL], ACCURACY), F.max(x)]
     row = kept.agg(*(c.alias(f"c{i}") for i, c in enumerate(columns))).first()
     if row[0] is None:
         return None
-    if min(row[::3]) < -LARGEST or max(row[1::3]) > LARGEST:
+    if min(row[::3]) < -LARGEST or max(row[2::3]) > LARGEST:
         raise ValueError(f"components beyond {LARGEST}: squared distances might not fit 64 bits")
     low = np.empty((dims, 1 << bits), np.int64)
     high = np.empty((dims, 1 << bits), np.int64)
     for d in range(dims):
-        least, greatest, cuts = row[3 * d : 3 * d + 3]
-        ends = np.unique(np.append(np.array(cuts, np.int64), greatest))
+        least, (begin, end), greatest = row[3 * d : 3 * d + 3]
+        cuts = np.floor(np.linspace(begin, end, (1 << bits) - 1)).astype(np.int64)
+        ends = np.unique(np.append(cuts, greatest))
         begins = np.append(least, ends[:-1] + 1)
         high[d], low[d] = np.pad(ends, (0, (1 << bits) - len(ends)), "edge"), begins[-1]
         low[d, : len(begins)] = begins

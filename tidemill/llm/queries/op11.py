@@ -12,14 +12,16 @@ from tidemill.llm.common import Workspace, table
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors of 64 components around 16 centroids, after three rounds."""
     found = cluster_vectors(table(spark, sf_dir, "embeddings"), Workspace(spark))
-    lines = [",".join(map(str, c)) for c in found.centroids.tolist()]
-    digests = [(n, hashlib.sha256(line.encode()).hexdigest()) for n, line in enumerate(lines)]
-    # A row for each centroid: broadcasting them is bounded.
-    centroids = spark.createDataFrame(digests, "cluster int, centroid_sha256 string")
-    by_cluster = found.assigned.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    whole = found.assigned.agg(F.sum("distance").alias("inertia"))
-    by_cluster = by_cluster.join(F.broadcast(centroids), "cluster").join(F.broadcast(whole))
-    return found.assigned.join(F.broadcast(by_cluster), "cluster").select(
+    sums = found.assigned.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()
+    whole = sum(row.inertia for row in sums)
+    digests = [
+        hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids.tolist()
+    ]
+    # A row for each centroid: collecting and broadcasting them is bounded.
+    rows = [(row.cluster, row.inertia, whole, digests[row.cluster]) for row in sums]
+    names = "cluster int, cluster_inertia long, inertia long, centroid_sha256 string"
+    centroids = spark.createDataFrame(rows, names)
+    return found.assigned.join(F.broadcast(centroids), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
 
