@@ -706,6 +706,49 @@ def q_ingest_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_with_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of four kinds by day: as the contract has it; with narrower ids, a date for the time and a
+    new whole-number column; with that column as a decimal; with ids in a type that could lose digits.
+    Per file what the ledger and history of one run say."""
+    events = _table(spark, sf_dir, "events")
+    entity = Entity(source="web", table="events", key="event_id", schema=events.schema)
+    lake, archive = event_archive(spark, events, entity)
+    weight = F.col("user_id") % 100
+    kinds = (
+        {},
+        {"user_id": F.col("user_id").cast("int"), "weight": weight.cast("int"), "ts": F.to_date("ts")},
+        {"weight": (weight / 4).cast("decimal(6,2)")},
+        {"event_id": F.col("event_id").cast("decimal(20,0)")},
+    )
+    for n, changed in enumerate(kinds):
+        rows = events.where(F.dayofmonth("ts") % 4 == n)
+        archive_events(lake, archive, entity, rows.withColumns(changed) if changed else rows)
+    try:
+        ingest_new_files(
+            spark, lake, archive, entity, "wide", allow_new_columns=True, allow_widening=True
+        )
+    except SchemaDrift:
+        pass  # raised once the others are in; the ledger has the reasons
+    held = (
+        committed_history(spark, lake, entity)
+        .groupBy(F.col("_source_file").alias("source_file"))
+        .agg(
+            F.sum("user_id").alias("user_ids"),
+            (F.sum("weight") * 4).cast("long").alias("weights"),
+            F.count_if(F.col("ts") == F.date_trunc("day", "ts")).alias("midnights"),
+        )
+    )
+    return spark.table(lake.ledger).join(held, "source_file", "left").select(
+        "source_file",
+        "status",
+        "rows_ingested",
+        "user_ids",
+        "weights",
+        "midnights",
+        F.col("error_message").contains("expected bigint").alias("refused"),
+    )
+
+
 def q_current_state_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as versions of their order: times tie all year, the later path wins, then the columns."""
     history, entity = order_versions(spark, sf_dir)
@@ -875,6 +918,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "archive_partitions": q_archive_partitions,
         "ingest_roundtrip": q_ingest_roundtrip,
         "ingest_with_drift": q_ingest_with_drift,
+        "ingest_with_widening": q_ingest_with_widening,
         "archive_landing": q_archive_landing,
         "current_state_files": q_current_state_files,
         "current_state_in_steps": q_current_state_in_steps,

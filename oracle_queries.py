@@ -399,6 +399,21 @@ FROM events GROUP BY ALL""",
             SELECT source_file, CASE WHEN odd THEN 'lenient' ELSE 'strict' END, 'SUCCESS', n,
                    CASE WHEN odd THEN n ELSE 0 END, NULL
             FROM files""",
+        "ingest_with_widening": """
+            WITH files AS (
+              SELECT 'web/events/' || strftime(ts, '%Y/%m/%d') || '/events_' || strftime(ts, '%Y%m%d')
+                       || '_incremental.parquet' AS source_file,
+                     day(ts) % 4 AS kind, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users,
+                     CAST(sum(user_id % 100) AS BIGINT) AS weight,
+                     count(*) FILTER (ts = date_trunc('day', ts)) AS at_midnight
+              FROM events GROUP BY ALL)
+            SELECT source_file, CASE WHEN kind = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                   CASE WHEN kind < 3 THEN n END AS rows_ingested,
+                   CASE WHEN kind < 3 THEN users END AS user_ids,
+                   CASE kind WHEN 1 THEN 4 * weight WHEN 2 THEN weight END AS weights,
+                   CASE WHEN kind = 1 THEN n WHEN kind < 3 THEN at_midnight END AS midnights,
+                   CASE WHEN kind = 3 THEN true END AS refused
+            FROM files""",
         "current_state_files": order_versions,
         "current_state_in_steps": order_versions,
         "archive_landing": """

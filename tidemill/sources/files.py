@@ -14,9 +14,17 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    DataType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from tidemill.contracts import FILE_DATE_FORMAT, FILE_NAME_PATTERN, Entity
+from tidemill.functions.widening import widens
 from tidemill.session import written
 
 MANIFEST = StructType(
@@ -115,15 +123,27 @@ class SchemaDrift(ValueError):
     """Files do not have the columns the contract asks for."""
 
 
-def check_schema(found: StructType, entity: Entity, allow_new_columns: bool = False) -> None:
-    """Compare column names and types with the contract; order and nullability do not matter."""
+def check_schema(
+    found: StructType,
+    entity: Entity,
+    allow_new_columns: bool = False,
+    allow_widening: bool = False,
+    evolved: StructType = StructType(),
+) -> None:
+    """Compare column names and types with the contract; order and nullability do not matter.
+
+    With ``allow_widening`` a type will do that the asked one holds every value of. ``evolved`` are
+    columns beyond the contract that a file may lack, but not have in a type that does not fit.
+    """
+    fits = widens if allow_widening else DataType.__eq__
     have = {f.name: f.dataType for f in found.fields}
     want = {f.name: f.dataType for f in entity.schema.fields}
+    asked = {**{f.name: f.dataType for f in evolved.fields}, **want}
     problems = [f"missing column {c}" for c in want if c not in have]
     problems += [
-        f"column {c} is {have[c].simpleString()}, expected {want[c].simpleString()}"
-        for c in want
-        if c in have and have[c] != want[c]
+        f"column {c} is {have[c].simpleString()}, expected {asked[c].simpleString()}"
+        for c in asked
+        if c in have and not fits(have[c], asked[c])
     ]
     if not allow_new_columns:
         problems += [f"unexpected column {c}" for c in have if c not in want]
