@@ -838,6 +838,37 @@ def q_star_in_two_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_snapshot(spark, lake, store, width=50_000).read(spark, FACT)
 
 
+def q_star_after_order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star built without every eleventh order, then brought up to date by a batch of
+    orders alone: the missing ones, every seventh returned, and of those every fifth without a known
+    customer. No line is newer than the first build."""
+    root = work_dir(spark)
+    lake = Lakehouse(location=f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
+    entities = {e.table: e for e in retail_entities()}
+    prepare(spark, lake, tuple(entities.values()))
+    customers = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name")
+    )
+    products = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
+    )
+    orders, number = orders_table(spark, sf_dir), F.col("order_id")
+    late, returned, lost = number % 11 == 0, number % 7 == 0, number % 35 == 0
+    changed = {
+        "order_status": F.when(returned, F.lit(" RETURNED")).otherwise(F.col("order_status")),
+        "customer_id": F.when(lost, F.lit(-1)).otherwise(F.col("customer_id")),
+    }
+    load_history(spark, lake, entities["customer"], customers, "first")
+    load_history(spark, lake, entities["product"], products, "first")
+    load_history(spark, lake, entities["order_line"], order_line_history(spark, sf_dir), "first")
+    load_history(spark, lake, entities["orders"], orders.where(~late), "first")
+    store = Store(spark, f"{root}/store")
+    build_snapshot(spark, lake, store, width=50_000)
+    second = orders.where(late | returned).withColumns(changed)
+    load_history(spark, lake, entities["orders"], second, "second")
+    return build_snapshot(spark, lake, store, width=50_000, follow_changes=True).read(spark, FACT)
+
+
 def q_watermark_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watermark of the negative values, of which there are none."""
     return watermark(_table(spark, sf_dir, "events").where(F.col("value") < 0), "ts")
@@ -923,6 +954,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "current_state_files": q_current_state_files,
         "current_state_in_steps": q_current_state_in_steps,
         "star_in_two_builds": q_star_in_two_builds,
+        "star_after_order_changes": q_star_after_order_changes,
         "watermark_default": q_watermark_default,
         "amounts_without_discount": q_amounts_without_discount,
         "failed_ledger_rows": q_failed_ledger_rows,

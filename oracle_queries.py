@@ -254,6 +254,21 @@ def oracle_sql(cut: str, tables: tuple[str, ...]) -> dict[str, str]:
     upserted = f"""{incremental(cut)}
 SELECT t.* FROM target t ANTI JOIN delta d ON t.order_line_id = d.order_line_id
 UNION ALL SELECT * FROM delta"""
+    by_price = "quantity DESC, unit_price DESC, discount_pct DESC)"
+    changed_orders = ORDERS.replace(
+        "o_custkey AS", "CASE WHEN o_orderkey % 35 = 0 THEN -1 ELSE o_custkey END AS"
+    ).replace(
+        "lower(trim(o_orderstatus)) AS",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 'returned' ELSE lower(trim(o_orderstatus)) END AS",
+    )
+    after_changes = ",".join(
+        [
+            f"WITH {LINES},{changed_orders},{CUSTOMERS},{PRODUCTS}",
+            latest("lines_history", "cur_lines").replace("supplier_id DESC)", by_price),
+            sales("cur_lines", "enriched"),
+            fact("enriched", "whole"),
+        ]
+    )
     order_versions = """
             WITH history AS (
               SELECT l_orderkey AS order_id, ' ' || l_returnflag || ' ' AS flag,
@@ -429,9 +444,8 @@ FROM events GROUP BY ALL""",
                    CASE WHEN batch = 'first' OR day(source_date) % 2 = 0 THEN n END AS rows_archived,
                    n IS NOT NULL AND batch = 'second' AND day(source_date) % 2 = 1 AS conflict
             FROM files, (VALUES ('first'), ('second')) b(batch)""",
-        "star_in_two_builds": upserted.replace(
-            "supplier_id DESC)", "quantity DESC, unit_price DESC, discount_pct DESC)"
-        ),
+        "star_in_two_builds": upserted.replace("supplier_id DESC)", by_price),
+        "star_after_order_changes": after_changes + " SELECT * FROM whole",
         "watermark_default": """
             SELECT coalesce(max(ts), TIMESTAMP '1900-01-01') AS watermark
             FROM events WHERE value < 0""",
