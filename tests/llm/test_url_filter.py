@@ -1,9 +1,23 @@
 import math
+import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm.queries.op8 import RULES
-from tidemill.llm.url_filter import Rule, entropy, filter_urls, host_of, path_of
+from tidemill.llm.url_filter import (
+    PRIOR_URLS,
+    Rule,
+    block_probability,
+    entropy,
+    filter_urls,
+    host_of,
+    path_of,
+    suffix_statistics,
+    train,
+    with_features,
+)
 
 SCHEMA = "page_id long, url string, host string, bucket string"
 
@@ -61,3 +75,70 @@ def test_entropy(spark, work):
     df = spark.createDataFrame([("aabb",), ("",), ("abcd",), ("é" * 9,)], "t string")
     found = [r[0] for r in df.select(entropy(F.col("t"))).collect()]
     assert all(math.isclose(a, b, abs_tol=1e-12) for a, b in zip(found, [1.0, 0.0, 2.0, 0.0]))
+
+
+def plainly(url, rules):
+    """Host, path and rule of a URL, letter by letter."""
+    rest = url.partition("://")[2] if url and "://" in url else ""
+    host = re.match("[^/?#]*", rest).group()
+    path = re.match("[^?#]*", rest[len(host) :]).group()
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [
+        r.text for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_host_path_and_rule_against_brute_force(spark, work):
+    chance = random.Random(8)
+    parts = ["example", "Example", "net", "com", "org", ".", ".", "/", "/en/", "/de/", "/fr/", "?", "#", "://"]
+    parts += ["https://", "é", "İ", "\n", " ", "%2F", "a" * 50]
+    urls = [None, "", "://", "http://" + "x" * 200_000 + ".net/" + "y/" * 100_000]
+    urls += ["".join(chance.choices(parts, k=chance.randrange(9))) for _ in range(600)]
+    urls += ["http://" + "".join(chance.choices(parts, k=chance.randrange(7))) for _ in range(600)]
+    rows = judged(spark, work, urls)
+    for n, url in enumerate(urls):
+        assert (rows[n].host, rows[n].path, rows[n].rule) == plainly(url, RULES), url
+
+
+def test_block_rates_come_from_other_domains(spark):
+    chance = random.Random(3)
+    hosts = [f"h{n}.d{chance.randrange(9)}.s{chance.randrange(3)}" for n in range(80)]
+    rows = [(f"http://{h}/", h, "/", chance.random() < 0.4) for h in hosts]
+    labelled = with_features(
+        spark.createDataFrame(rows, "url string, host string, path string, blocked boolean"), "url", "host", "path"
+    )
+    found = {
+        (r.bucket, r.fold): (r.suffix_rate, r.suffix_urls) for r in suffix_statistics(labelled, 0.25).collect()
+    }
+    seen = labelled.collect()
+    folds = {}
+    for r in seen:
+        folds.setdefault(r.host.split(".", 1)[1], set()).add(r.fold)
+    assert all(len(f) == 1 for f in folds.values()) and len(set().union(*folds.values())) > 1
+    for bucket, fold in {(r.bucket, f) for r in seen for f in (r.fold, -1)}:
+        others = [r.blocked for r in seen if r.bucket == bucket and r.fold != fold]
+        want = (sum(others) + PRIOR_URLS * 0.25) / (len(others) + PRIOR_URLS), math.log1p(len(others))
+        assert found[bucket, fold] == pytest.approx(want)
+
+
+def test_held_out_domains(spark, work):
+    """Trees learn from half of the domains, and judge the others: long links with digits and
+    parameters are bad, wherever they are, and one suffix has more of them."""
+    chance = random.Random(6)
+
+    def link(n):
+        bad = chance.random() < (0.8 if n % 3 == 0 else 0.3)
+        host = f"w{chance.randrange(4)}.d{n}.{('com', 'org', 'net')[n % 3]}"
+        name = "".join(chance.choices("0123456789-" if bad else "abcdefgh", k=chance.randrange(4, 20)))
+        ask = "&".join(f"k{i}={chance.randrange(99)}" for i in range(chance.randrange(2, 5) if bad else 1))
+        return f"http://{host}/{name}?{ask}", host, f"/{name}", bad, n
+
+    rows = [link(n % 60) for n in range(900)]
+    schema = "url string, host string, path string, blocked boolean, domain int"
+    rows = with_features(spark.createDataFrame(rows, schema), "url", "host", "path")
+    model = train(rows.where("domain % 2 = 0"), work)
+    seen = block_probability(rows.where("domain % 2 = 1"), model).select("blocked", "block_probability")
+    seen = seen.collect()
+    right = sum((r.block_probability >= 0.5) == r.blocked for r in seen)
+    assert len(seen) == 450 and right >= 0.95 * len(seen)

@@ -2,7 +2,8 @@
 
 The trees see lexical features only: lengths, depth, digit ratio, entropy, counts of parameters and
 separators, and block statistics of the host's suffix, all computed by Spark expressions. They are
-trained by Spark ML from labelled URLs.
+trained by Spark ML from labelled URLs. What a suffix's block rate says of a labelled URL is taken from
+URLs of other domains, never from its own label; else the trees would learn to read the labels off it.
 """
 
 from __future__ import annotations
@@ -12,15 +13,18 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import Workspace
 
 BLOCK, ALLOW = "block", "allow"
 
-# Suffix statistics are kept by hash bucket, so their table has at most this many rows.
+# Suffix statistics are kept by hash bucket and fold, so their table has at most this many rows for
+# each fold. Suffixes of one bucket share their statistics.
 SUFFIX_BUCKETS = 4096
+# A labelled URL's statistics come from the other folds; all URLs of a domain are in one.
+FOLDS = 5
 # Weight of the overall block rate in a suffix's rate, in URLs.
 PRIOR_URLS = 10.0
 # Labelled URLs the trees are fitted on at most; a hash of the URL chooses them beyond that.
@@ -121,7 +125,9 @@ def with_features(df: DataFrame, url: str, host: str, path: str) -> DataFrame:
     }
     suffix = F.substring_index(host, ".", -1)
     bucket = F.pmod(F.xxhash64(suffix), F.lit(SUFFIX_BUCKETS)).cast("int")
-    return df.withColumns({**{k: v.cast("double") for k, v in values.items()}, "bucket": bucket})
+    fold = F.pmod(F.xxhash64(F.substring_index(host, ".", -2)), F.lit(FOLDS)).cast("int")
+    columns = {**{k: v.cast("double") for k, v in values.items()}, "bucket": bucket, "fold": fold}
+    return df.withColumns(columns)
 
 
 @dataclass(frozen=True)
@@ -131,8 +137,32 @@ class UrlModel:
     rate: float
 
 
+def suffix_statistics(labelled: DataFrame, rate: float) -> DataFrame:
+    """Block rate and number of labelled URLs by bucket, for each fold without the URLs of that fold,
+    and for fold -1 with all of them."""
+    counted = labelled.groupBy("bucket", "fold").agg(
+        F.count(F.lit(1)).alias("urls"), F.count_if("blocked").alias("blocked")
+    )
+    whole = Window.partitionBy("bucket")
+    every = {c: F.sum(c).over(whole) for c in ("urls", "blocked")}
+    others = counted.select(
+        "bucket", "fold", *((every[c] - F.col(c)).alias(c) for c in ("urls", "blocked"))
+    )
+    total = counted.groupBy("bucket", F.lit(-1).alias("fold")).agg(
+        F.sum("urls").alias("urls"), F.sum("blocked").alias("blocked")
+    )
+    blocked = F.col("blocked") + F.lit(PRIOR_URLS * rate)
+    return others.unionByName(total).select(
+        "bucket",
+        "fold",
+        (blocked / (F.col("urls") + F.lit(PRIOR_URLS))).alias("suffix_rate"),
+        F.log1p("urls").alias("suffix_urls"),
+    )
+
+
 def _with_suffixes(df: DataFrame, suffixes: DataFrame, rate: float) -> DataFrame:
-    joined = df.join(F.broadcast(suffixes), "bucket", "left")  # at most SUFFIX_BUCKETS rows
+    # At most SUFFIX_BUCKETS * (FOLDS + 1) rows.
+    joined = df.join(F.broadcast(suffixes), ["bucket", "fold"], "left")
     return joined.fillna({"suffix_rate": rate, "suffix_urls": 0.0})
 
 
@@ -151,13 +181,7 @@ def train(
         F.count(F.lit(1)).alias("urls"), F.count_if("blocked").alias("blocked")
     ).first()
     rate = totals["blocked"] / totals["urls"] if totals["urls"] else 0.0
-    suffixes = labelled.groupBy("bucket").agg(
-        (
-            (F.count_if("blocked") + F.lit(PRIOR_URLS * rate))
-            / (F.count(F.lit(1)) + F.lit(PRIOR_URLS))
-        ).alias("suffix_rate"),
-        F.log1p(F.count(F.lit(1))).alias("suffix_urls"),
-    )
+    suffixes = suffix_statistics(labelled, rate)
     if not totals["urls"]:
         return UrlModel(None, suffixes, rate)
     share = min(1.0, MAX_LABELLED / totals["urls"])
@@ -173,7 +197,8 @@ def block_probability(df: DataFrame, model: UrlModel) -> DataFrame:
     """``df``, with the features of ``with_features``, plus ``block_probability``."""
     if model.trees is None:
         return df.withColumn("block_probability", F.lit(0.0))
-    rows = _assembled(_with_suffixes(df, model.suffixes, model.rate))
+    rows = _with_suffixes(df.withColumn("fold", F.lit(-1)), model.suffixes, model.rate)
+    rows = _assembled(rows)
     scored = model.trees.transform(rows)
     return scored.withColumn("block_probability", vector_to_array("probability")[1])
 
