@@ -12,6 +12,7 @@ counted once; each step of the estimation is one aggregate over that small table
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -199,8 +200,20 @@ class LabelModel:
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(patterns: DataFrame, names: list[str], steps: int = 15) -> LabelModel:
-    """Expectation-maximisation over ``patterns`` (votes, documents).
+def moved(before: LabelModel | None, after: LabelModel) -> float:
+    """The largest change of the prior or a chance between two models."""
+    if before is None:
+        return 1.0
+    pairs = zip(before.votes, after.votes)
+    steps = [abs(a[k][v] - b[k][v]) for a, b in pairs for k in (0, 1) for v in (GOOD, BAD)]
+    return max(abs(before.prior - after.prior), *steps)
+
+
+def fit(
+    patterns: DataFrame, names: list[str], tolerance: float = 1e-4, most_steps: int = 500
+) -> LabelModel:
+    """Expectation-maximisation over ``patterns`` (votes, documents), until a step changes neither the
+    prior nor any chance by more than ``tolerance``, or with a warning after ``most_steps``.
 
     It starts by doubting every document with a bad vote, as rules seldom blame a good text. Each
     chance has one document of each vote added, so that no vote is certain. An empty table gives the uninformed model.
@@ -209,7 +222,8 @@ def fit(patterns: DataFrame, names: list[str], steps: int = 15) -> LabelModel:
     weight = F.col("documents").cast("double")
     bad_votes = F.size(F.filter(votes, lambda v: v == BAD))
     good = F.when(bad_votes == 0, F.lit(0.9)).otherwise(F.lit(0.1))
-    for _ in range(steps):
+    model, step = None, 1.0
+    for _ in range(most_steps):
         sums = [F.sum(weight).alias("total"), F.sum(weight * good).alias("good")]
         for n in range(len(names)):
             for vote in (GOOD, BAD):
@@ -223,8 +237,12 @@ def fit(patterns: DataFrame, names: list[str], steps: int = 15) -> LabelModel:
             for kind, letter in ((1, "g"), (0, "b")):
                 counts = {v: found[f"{letter}{n}_{v}"] + 1 for v in (GOOD, BAD)}
                 by_class[kind] = {v: c / sum(counts.values()) for v, c in counts.items()}
-        model = LabelModel(names, (found["good"] + 1) / (found["total"] + 2), chances)
+        before, model = model, LabelModel(names, (found["good"] + 1) / (found["total"] + 2), chances)
+        step = moved(before, model)
+        if step <= tolerance:
+            return model
         good = model.posterior(votes)
+    warnings.warn(f"after {most_steps} steps the label model still changes by {step:.1e}")
     return model
 
 
