@@ -30,14 +30,23 @@ def packed() -> Column:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that pass the base rule and are probably good by the weighed rules."""
+    """Keep documents that pass the base rule and are probably good by the weighed rules.
+
+    A null or empty text fails the base rule; very long ones are judged whole; repeated rows are judged
+    alike; an empty table gives an empty one; columns of any name stay as they are.
+    """
     judged, _ = judge(with_votes(docs.select(packed()), "doc.text"), fresh(spark))
     return judged.where("kept").select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of line runs of 50 words or more; a document that loses all its words to
-    that goes. ``n_chars`` follows the text."""
+    that goes. ``n_chars`` follows the text.
+
+    A null or empty text stays as it is; of repeated rows with a run that is long enough
+    the first in the order of ids keeps it (null ids come first); an empty table gives an empty one;
+    columns of any other name stay as they are.
+    """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("doc"))
     left = dedup_lines(rows, fresh(spark), min_words=MIN_RUN_WORDS)
@@ -51,7 +60,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with similar 5-word shingles stays, the one of the smallest id."""
+    """One document of each group with similar 5-word shingles stays, the one of the smallest id.
+
+    A text that is null or without words is like no other; one of fewer than five words is one shingle;
+    rows repeated with id and text are one document; a null id is larger than any other; an empty table
+    gives an empty one; columns of any other name stay as they are.
+    """
     importable(spark)
     work = fresh(spark)
     found = similar_components(docs, work, words=NEAR_WORDS, percent=NEAR_PERCENT)
@@ -73,14 +87,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample documents so that tokens meet the target weights of sources, languages and topics."""
+    """Sample documents so that tokens meet the target weights of sources, languages and topics.
+
+    A null source, language or topic is a value like any other; a document without tokens has the
+    probability of its cell; rows of one id go together where their probabilities are equal; an empty
+    table gives an empty one; columns of any other name stay as they are.
+    """
     rows = docs.select("doc_id", "source", "lang", n_words().alias("tokens"), packed())
     mixed = mix(with_topic(spark, rows, sf_dir), TARGETS, F.col("tokens"), fresh(spark))
     return mixed.where("sampled").select("doc.*")
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether decoding them gives the text back."""
+    """Token ids of every text, and whether decoding them gives the text back.
+
+    A null or empty text has no ids; texts of any length are encoded whole; each of repeated rows gives a
+    row; an empty table gives an empty one; other columns are left out.
+    """
     importable(spark)
     fresh(spark)
     path = public_tokenizers.path(RANKS)
