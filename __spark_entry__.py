@@ -77,6 +77,7 @@ from tidemill.plans.star import (
 from tidemill.session import work_dir, written
 from tidemill.sources.files import SchemaDrift, archive_path, classify_files
 from tidemill.sources.snapshots import Store
+from tidemill.sources.statistics import history_where, write_statistics
 from tidemill.sources.tables import (
     ARCHIVE_LOG,
     Lakehouse,
@@ -90,6 +91,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameter of the incremental queries: lines up to here are loaded first, later ones afterwards.
 CUT = "2000-06-17"
+HALF_MONTH = "2024-01-15 12:00:00"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -533,6 +535,26 @@ TABLES = (
 )
 
 
+def q_key_history_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The busiest user's events of the second half of the month, out of a history loaded in two batches,
+    by the statistics of its files."""
+    events = _table(spark, sf_dir, "events").withColumnRenamed("ts", "modified_at")
+    busiest = events.groupBy("user_id").count().orderBy(F.col("count").desc(), "user_id").limit(1)
+    entity = Entity(source="web", table="events", key="user_id", schema=events.schema)
+    root = work_dir(spark)
+    lake = Lakehouse(location=f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
+    prepare(spark, lake, (entity,))
+    half = F.lit(HALF_MONTH).cast("timestamp_ntz")
+    late = F.col("modified_at") > half
+    for batch, rows in (("first", events.where(~late)), ("second", events.where(late))):
+        load_history(spark, lake, entity, rows, batch)
+        write_statistics(spark, lake, entity, batch)
+    user = busiest.first().user_id
+    found = history_where(spark, lake, entity, key=user, after=half)
+    found = found.select(*entity.columns).orderBy("modified_at")
+    return found.withColumnRenamed("modified_at", "ts")
+
+
 def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables: dict[str, DataFrame | None] = {t: _table(spark, sf_dir, t) for t in TABLES}
     return table_counts(spark, {**tables, "returns": None})
@@ -945,6 +967,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_anomalies": q_ingest_anomalies,
         "ledger_report": q_ledger_report,
         "key_history": q_key_history,
+        "key_history_by_files": q_key_history_by_files,
         "table_counts": q_table_counts,
         "archive_partitions": q_archive_partitions,
         "ingest_roundtrip": q_ingest_roundtrip,

@@ -386,6 +386,10 @@ SELECT * FROM ledger ORDER BY started_at DESC, source_name, table_name""",
         "key_history": """
 SELECT * FROM events WHERE user_id = (
   SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+ORDER BY ts""",
+        "key_history_by_files": """
+SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 12:00:00' AND user_id = (
+  SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
 ORDER BY ts""",
         "table_counts": " UNION ALL ".join(counts),
         "archive_partitions": """

@@ -1,0 +1,136 @@
+"""Scans by the statistics of history files."""
+
+from datetime import datetime, timezone
+from pathlib import Path
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+
+from __spark_entry__ import load_history
+from tests.retail import at, customer
+from tests.test_loading import GOOD, Loader
+from tidemill.contracts import CUSTOMER, Entity
+from tidemill.sources.statistics import (
+    blooms_table,
+    files_table,
+    history_where,
+    write_statistics,
+)
+from tidemill.sources.tables import Lakehouse, prepare
+
+COLUMNS = [("number", IntegerType()), ("word", StringType()), ("modified_at", TimestampType())]
+SCHEMA = StructType([StructField(c, t) for c, t in COLUMNS])
+
+
+def time(n):
+    return datetime.fromtimestamp(1_900_000_000 + n, timezone.utc)
+
+
+class Kept:
+    def __init__(self, spark, root, key):
+        self.spark, self.root = spark, root
+        self.entity = Entity(source="web", table="things", key=key, schema=SCHEMA)
+        self.lake = Lakehouse(location=f"{root}/tables", prefix=f"t_{uuid4().hex}")
+        prepare(spark, self.lake, (self.entity,))
+
+    def load(self, batch, numbers, files=1, statistics=True):
+        rows = [(n, None if n is None else f"w{n}", None if n is None else time(n)) for n in numbers]
+        df = self.spark.createDataFrame(rows, SCHEMA).repartition(files)
+        load_history(self.spark, self.lake, self.entity, df, batch)
+        if statistics:
+            write_statistics(self.spark, self.lake, self.entity, batch)
+
+    def found(self, **asked):
+        rows = history_where(self.spark, self.lake, self.entity, **asked)
+        return sorted(r.number for r in rows.collect())
+
+    def data_files(self, *batches):
+        folder = Path(self.root, "tables", self.lake.schema_of("web"))
+        files = folder.rglob("things/_batch_id=*/part-*")
+        return [f for f in files if f.parent.name.split("=")[1] in batches]
+
+
+@pytest.mark.parametrize("key", ["number", "word"])
+def test_only_files_that_can_hold_the_key_are_opened(spark, tmp_path, key):
+    kept = Kept(spark, tmp_path, key)
+    kept.load("even", range(0, 40_000, 2), files=3)
+    kept.load("odd", range(1, 40_000, 2), files=3)
+    asked = {"number": 777, "word": "w777"}[key]
+    held = spark.table(kept.lake.history(kept.entity)).where(F.col(key) == asked)
+    [home] = held.select("_metadata.file_name").distinct().collect()
+    others = [f for f in kept.data_files("even", "odd") if f.name != home.file_name]
+    assert len(others) == 5
+    for file in others:
+        file.write_bytes(b"x" * file.stat().st_size)  # opening one of them fails
+        Path(file.parent, f".{file.name}.crc").unlink()
+    assert kept.found(key=asked) == [777]
+    with pytest.raises(Exception, match="777|Parquet|parquet"):
+        spark.table(kept.lake.history(kept.entity)).where(F.col(key) == asked).collect()
+
+
+def test_every_key_is_found_whatever_the_number_of_blocks(spark, tmp_path):
+    kept = Kept(spark, tmp_path, "number")
+    kept.load("one", range(0, 30_000, 3), files=2)
+    kept.load("two", range(1, 30_000, 3), files=2)
+    bits = spark.table(blooms_table(kept.lake, kept.entity))
+    assert bits.agg(F.max("blocks")).first()[0] == 2
+    for number in (0, 1, 3, 14_998, 29_997, 29_998):
+        assert kept.found(key=number) == [number]
+    for number in (2, 14_999, -5, 10**6, None):
+        assert number is None or kept.found(key=number) == []
+
+
+def test_times(spark, tmp_path):
+    kept = Kept(spark, tmp_path, "number")
+    kept.load("one", [1, 2, 3, None])
+    kept.load("two", [3, 4, 5])
+    for file in kept.data_files("one"):
+        file.write_bytes(b"x" * file.stat().st_size)
+        Path(file.parent, f".{file.name}.crc").unlink()
+    assert kept.found(after=time(3)) == [4, 5]
+    assert kept.found(after=time(3), upto=time(4)) == [4]
+    assert kept.found(after=time(5)) == []
+    assert kept.found(key=5, after=time(4), upto=time(9)) == [5]
+
+
+def test_batches_without_statistics_nulls_and_values_that_are_no_key(spark, tmp_path):
+    kept = Kept(spark, tmp_path, "number")
+    kept.load("bare", [7, 8, None], statistics=False)
+    assert kept.found(key=7) == [7]
+    kept.load("one", [7, 9, None, None])
+    kept.load("empty", [])
+    assert kept.found(key=7) == [7, 7]
+    assert kept.found(key=2**40) == []
+    assert len(kept.found(key=8)) == 1
+    assert history_where(spark, kept.lake, kept.entity).count() == 7
+
+
+def test_a_batch_that_died_is_not_read_and_a_retry_replaces_its_statistics(spark, tmp_path):
+    kept = Kept(spark, tmp_path, "number")
+    kept.load("one", [1, 2])
+    ledger = spark.table(kept.lake.ledger).where("batch_id = 'one'")
+    nothing = ledger.select("source_name", "table_name", "batch_id").limit(0)
+    assert history_where(spark, kept.lake, kept.entity, key=1, batches=nothing).count() == 0
+    kept.load("one", [1, 3])
+    spark.catalog.refreshTable(kept.lake.history(kept.entity))
+    assert kept.found(key=1) == [1] and kept.found(key=2) == [] and kept.found(key=3) == [3]
+    assert spark.table(files_table(kept.lake, kept.entity)).count() == 1
+
+
+def test_ingest_writes_them_and_goes_on_once_there_are_any(spark, tmp_path):
+    loader = Loader(spark, tmp_path)
+    plain = loader.lake
+    loader.lake = Lakehouse(location=plain.location, prefix=plain.prefix, file_statistics=True)
+    loader.land(GOOD, [customer(n, at(1)) for n in range(5)])
+    loader.store("a")
+    assert loader.ingest("a") == 1
+    loader.lake = plain
+    loader.land("customer_20260803_incremental.parquet", [customer(n, at(2)) for n in range(4, 8)])
+    loader.store("b")
+    assert loader.ingest("b") == 1
+    batches = spark.table(files_table(plain, CUSTOMER)).select("_batch_id").distinct().collect()
+    assert {r[0] for r in batches} == {"a", "b"}
+    assert history_where(spark, plain, CUSTOMER, key=4).count() == 2
+    assert [r.customer_id for r in history_where(spark, plain, CUSTOMER, key=7, after=at(1)).collect()] == [7]
