@@ -34,6 +34,7 @@ from tidemill.contracts import (
     PERCENT,
     PRICE,
     SUCCESS,
+    Checks,
     Entity,
 )
 from tidemill.functions import (
@@ -64,6 +65,7 @@ from tidemill.plans.archive import (
     write_archive,
 )
 from tidemill.plans.build import FACT
+from tidemill.plans.check_state import check_report, update_checks
 from tidemill.plans.ingest import ingest_new_files, tag_lineage
 from tidemill.plans.snapshot import build_snapshot, current_rows, current_table, merge_current
 from tidemill.plans.star import (
@@ -92,6 +94,19 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameter of the incremental queries: lines up to here are loaded first, later ones afterwards.
 CUT = "2000-06-17"
 HALF_MONTH = "2024-01-15 12:00:00"
+BATCH_CHECKS = {
+    "lineitem": Checks(
+        not_null=("l_returnflag", "l_shipdate"),
+        unique=("l_orderkey", "l_shipdate"),
+        relationships=(("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "supplier", "s_suppkey")),
+    ),
+    "orders": Checks(
+        not_null=("o_orderkey",),
+        unique=("o_orderkey", "o_custkey"),
+        relationships=(("o_custkey", "customer", "c_custkey"),),
+    ),
+    "customer": Checks(unique=("c_custkey", "c_name")),
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -449,6 +464,27 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_checks(star_relations(spark, sf_dir), CHECKS)
 
 
+def q_dq_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of lines, orders, customers and suppliers that come in three batches, parents often
+    after their children, out of the state that the batches were merged into one by one."""
+    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
+    flag = F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag")
+    lines = lines.select("l_orderkey", "l_partkey", "l_linenumber", flag, "l_shipdate")
+    buyers, suppliers = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "supplier")
+    place = F.coalesce("l_linenumber", F.lit(0))
+    first, last = place <= 2, place >= 5
+    early = F.coalesce(F.col("o_orderdate") <= F.lit(CUT).cast("timestamp_ntz"), F.lit(False))
+    batches = [
+        {"lineitem": lines.where(first), "orders": orders.where(~early)},
+        {"lineitem": lines.where(~first & ~last), "customer": buyers},
+        {"lineitem": lines.where(last), "orders": orders.where(early), "supplier": suppliers},
+    ]
+    store = Store(spark, f"{work_dir(spark)}/checks")
+    for number, news in enumerate(batches):
+        state = update_checks(store, news, BATCH_CHECKS, f"batch {number}", width=10_000)
+    return check_report(spark, state)
+
+
 def q_manifest_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file name per event, some of them bad, read back into table, date and load type."""
     day = F.when(F.col("value") >= 60, F.lit("20261399")).otherwise(
@@ -960,6 +996,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_relationships": q_dq_relationships,
         "dq_orphans": q_dq_orphans,
         "dq_report": q_dq_report,
+        "dq_in_batches": q_dq_in_batches,
         "manifest_parse": q_manifest_parse,
         "pending_files": q_pending_files,
         "rows_per_file": q_rows_per_file,

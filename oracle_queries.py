@@ -342,6 +342,22 @@ SELECT l_partkey, CAST(count(*) AS BIGINT) AS rows
 FROM lineitem ANTI JOIN supplier ON l_partkey = s_suppkey
 WHERE l_partkey IS NOT NULL GROUP BY l_partkey""",
         "dq_report": report(),
+        "dq_in_batches": " UNION ALL ".join(
+            [
+                null_count("lineitem", "(SELECT nullif(l_returnflag, 'N') AS l_returnflag FROM lineitem)", "l_returnflag"),
+                null_count("lineitem", "lineitem", "l_shipdate"),
+                repeats("lineitem", "lineitem", "l_orderkey"),
+                repeats("lineitem", "lineitem", "l_shipdate"),
+                strays("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+                strays("lineitem", "lineitem", "l_partkey", "supplier", "s_suppkey"),
+                null_count("orders", "orders", "o_orderkey"),
+                repeats("orders", "orders", "o_orderkey"),
+                repeats("orders", "orders", "o_custkey"),
+                strays("orders", "orders", "o_custkey", "customer", "c_custkey"),
+                repeats("customer", "customer", "c_custkey"),
+                repeats("customer", "customer", "c_name"),
+            ]
+        ),
         "manifest_parse": f"""
 WITH named AS (
   SELECT event_id,
