@@ -1,5 +1,6 @@
 import base64
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -32,6 +33,21 @@ def test_random_texts_encode_like_the_library(reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
 
 
+def test_letters_and_numbers_that_are_younger_than_the_library():
+    """A vocabulary whose merges show whether a character shares a match with a letter or a digit."""
+    pieces = [bytes([b]) for b in range(256)]
+    pieces += [p + bytes([b]) for p in (b"a", b"1") for b in range(128, 256)]
+    ranks = {piece: rank for rank, piece in enumerate(pieces)}
+    file = b"".join(base64.b64encode(p) + b" %d\n" % r for p, r in ranks.items())
+    pattern = public_tokenizers.PATTERN
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    # Only what Python's own tables do not know, too, can have become a letter or number since.
+    unknown = [chr(c) for c in range(0x34000) if unicodedata.category(chr(c)) == "Cn"]
+    texts = [f"a{c} 1{c}{c}" for c in unknown]
+    for text, ids in zip(texts, byte_bpe.ByteBpe(file, pattern).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text), ascii(text)
+
+
 def test_dataframe_with_odd_texts_and_clashing_columns(spark, work, reference):
     rows = [(n, t, "ids", b"x") for n, t in enumerate(TEXTS * 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded binary")

@@ -31,6 +31,23 @@ BUCKET_ROWS = 16384
 # Characters whose words are in memory at once, as far as whole texts allow.
 CHUNK_CHARS = 2_000_000
 
+# Letters and numbers, as first and last code point, that Unicode has had for a shorter time
+# than tiktoken's tables are old. There they are neither, so matches end before them.
+YOUNG = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD),
+    (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959),
+    (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9),
+    (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
+    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+)
+NO_CHARACTER = "\uffff"
+
+_YOUNG = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in YOUNG) + "]")
 _SPACES = re.compile(r"\s\s")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -184,11 +201,18 @@ class ByteBpe:
 
     # --- texts ---------------------------------------------------------------------------------
 
+    def matches(self, text: str) -> list[str]:
+        """Matches of the pattern; young letters and numbers are split like what is no character."""
+        if text.isascii() or not _YOUNG.search(text):
+            return self.pattern.findall(text)
+        spans = (m.span() for m in self.pattern.finditer(_YOUNG.sub(NO_CHARACTER, text)))
+        return [text[a:b] for a, b in spans]
+
     def learn(self, known: dict[str, bytes], space: str, new: set[str]) -> None:
         """Encode words not met before. A word of letters only is one match of the pattern."""
-        plain = [w for w in new if w.isalpha()]
-        rest = [w for w in new if not w.isalpha()]
-        split = [[m.encode() for m in self.pattern.findall(space + w)] for w in rest]
+        plain = [w for w in new if w.isalpha() and (w.isascii() or not _YOUNG.search(w))]
+        rest = list(new.difference(plain))
+        split = [[m.encode() for m in self.matches(space + w)] for w in rest]
         parts = list({m for matches in split for m in matches})
         ids = self.encode_matches([(space + w).encode() for w in plain] + parts)
         known.update(zip(plain, ids))
