@@ -129,3 +129,17 @@ def test_labelled_documents(spark, work):
     counted = df.where("NOT base_failed").join(labels, "doc_id").groupBy("quality", "kept").count()
     found = {(r.quality, r.kept): r["count"] for r in counted.collect()}
     assert (1, False) not in found and found[0, False] > 0.9 * (found[0, False] + found.get((0, True), 0))
+
+
+def test_the_estimation_runs_one_job_however_many_steps(spark, work):
+    """A job for each step left the driver plans and generated code of each: pipeline, driver's memory."""
+    rows = [([1, -1, 0], 50), ([1, 1, 1], 90), ([-1, -1, 1], 40), ([0, 1, -1], 30), ([1, -1, 0], 7)]
+    patterns = work.keep(spark.createDataFrame(rows, "votes array<int>, documents long"), "patterns")
+    context = spark.sparkContext
+    context.setJobGroup("estimation", "estimation")
+    try:
+        fit(patterns, list("abc"))
+        jobs = context.statusTracker().getJobIdsForGroup("estimation")
+    finally:
+        context.setJobGroup("other", "other")
+    assert 1 <= len(jobs) <= 3

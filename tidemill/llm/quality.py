@@ -5,8 +5,9 @@ trusted outright: expectation-maximisation over the vote patterns of the corpus
 good and bad documents get each vote, and with it each rule's accuracy. A document is kept by its
 posterior probability of being good, not by passing all rules.
 
-Everything is DataFrame expressions. The vote patterns, at most 3 to the number of rules, are
-counted once; each step of the estimation is one aggregate over that small table.
+Texts are measured and judged by DataFrame expressions. The vote patterns, at most 3 to the number of
+rules whatever the corpus (2,187 of the seven rules here), are counted once by Spark; the estimation
+goes over that small table in the driver, as a job for each step would leave it its plan and its code.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import math
 import warnings
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -199,6 +201,14 @@ class LabelModel:
             )
         return 1 / (1 + F.exp(-odds))
 
+    def chance_good(self, votes: np.ndarray) -> np.ndarray:
+        """``posterior`` of patterns, one a row."""
+        odds = np.full(len(votes), math.log(self.prior / (1 - self.prior)))
+        for n, chances in enumerate(self.votes):
+            for vote in (GOOD, BAD):
+                odds += (votes[:, n] == vote) * math.log(chances[1][vote] / chances[0][vote])
+        return 1 / (1 + np.exp(-odds))
+
 
 def moved(before: LabelModel | None, after: LabelModel) -> float:
     """The largest change of the prior or a chance between two models."""
@@ -218,30 +228,24 @@ def fit(
     It starts by doubting every document with a bad vote, as rules seldom blame a good text. Each
     chance has one document of each vote added, so that no vote is certain. An empty table gives the uninformed model.
     """
-    votes = F.col("votes")
-    weight = F.col("documents").cast("double")
-    bad_votes = F.size(F.filter(votes, lambda v: v == BAD))
-    good = F.when(bad_votes == 0, F.lit(0.9)).otherwise(F.lit(0.1))
+    counted = patterns.groupBy("votes").agg(F.sum("documents").alias("documents"))
+    rows = sorted((tuple(r.votes), r.documents) for r in counted.collect())  # 3 to the rules at most
+    votes = np.array([v for v, _ in rows], dtype=np.int64).reshape(len(rows), len(names))
+    weight = np.array([n for _, n in rows], dtype=np.float64)
+    good = np.where((votes == BAD).any(axis=1), 0.1, 0.9)
     model, step = None, 1.0
     for _ in range(most_steps):
-        sums = [F.sum(weight).alias("total"), F.sum(weight * good).alias("good")]
-        for n in range(len(names)):
-            for vote in (GOOD, BAD):
-                has = votes[n] == vote
-                sums.append(F.sum(F.when(has, weight * good)).alias(f"g{n}_{vote}"))
-                sums.append(F.sum(F.when(has, weight * (1 - good))).alias(f"b{n}_{vote}"))
-        found = patterns.agg(*sums).first().asDict()  # one row whatever the corpus
-        found = {name: value or 0.0 for name, value in found.items()}
         chances = [{} for _ in names]
-        for n, by_class in enumerate(chances):
-            for kind, letter in ((1, "g"), (0, "b")):
-                counts = {v: found[f"{letter}{n}_{v}"] + 1 for v in (GOOD, BAD)}
+        for kind, share in ((1, weight * good), (0, weight * (1 - good))):
+            for n, by_class in enumerate(chances):
+                counts = {v: float(share[votes[:, n] == v].sum()) + 1 for v in (GOOD, BAD)}
                 by_class[kind] = {v: c / sum(counts.values()) for v, c in counts.items()}
-        before, model = model, LabelModel(names, (found["good"] + 1) / (found["total"] + 2), chances)
+        prior = (float((weight * good).sum()) + 1) / (float(weight.sum()) + 2)
+        before, model = model, LabelModel(names, prior, chances)
         step = moved(before, model)
         if step <= tolerance:
             return model
-        good = model.posterior(votes)
+        good = model.chance_good(votes)
     warnings.warn(f"after {most_steps} steps the label model still changes by {step:.1e}")
     return model
 
