@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import Workspace, importable
 from tidemill.llm.components import connected
 from tidemill.llm.ngram_jaccard import ngram_sets, similar_components
 
@@ -128,3 +129,61 @@ def test_pieces_of_fewer_words_than_an_ngram(spark, work):
     out = similar_components(docs, work, words=5)
     got = [tuple(r) for r in out.select("_id", "n_shingles", "component_id").collect()]
     assert sorted(got, key=repr) == brute(rows, 5, 90)
+
+
+class Recorded(Workspace):
+    """Keeps the tables of a run, by name."""
+
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.tables = {}
+
+    def keep(self, df, name):
+        self.tables[name] = super().keep(df, name)
+        return self.tables[name]
+
+    def forget(self, name):
+        pass
+
+
+def test_sets_of_another_size_have_another_pivot(spark):
+    random.seed(11)
+    importable(spark)
+    whole = text(200)
+    texts = [whole] * 3 + [edited(whole, 1) for _ in range(40)]
+    texts += [whole[:100]] * 2 + [edited(whole[:100], 1) for _ in range(40)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    work = Recorded(spark)
+    assert found(spark, work, rows, 5, 80) == brute(rows, 5, 80)
+    # The short texts lack the same half of the whole one; compared with that, all pairs of them met.
+    assert work.tables["stars"].count() >= 80
+    assert work.tables["differences"].where("NOT linked").count() == 0
+    assert work.tables["overlaps"].count() == 0
+
+
+def test_sets_with_much_alone_meet_in_few_places(spark):
+    random.seed(12)
+    importable(spark)
+    whole = text(150)
+    common = edited(whole, 6)
+    # All far from the whole text in the same places, and from each other in places of their own.
+    texts = [whole] * 3 + [edited(common, 5) for _ in range(60)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    work = Recorded(spark)
+    assert found(spark, work, rows, 5, 80) == brute(rows, 5, 80)
+    far = work.tables["differences"].where("NOT linked").count()
+    assert far >= 50 and work.tables["overlaps"].count() <= 2 * far
+
+
+@pytest.mark.parametrize("n, percent", [(5, 80), (3, 90)])
+def test_crowds_of_all_sizes_against_all_pairs(spark, work, n, percent):
+    random.seed(100 * n + percent)
+    whole = text(120)
+    variants = [edited(whole, k) for k in (2, 4, 6, 9)]
+    texts = [whole] * 2
+    for _ in range(240):
+        base = random.choice([whole, *variants])
+        length = random.choice([120, 118, 100, 90, 75, 60])
+        texts.append(edited(base[:length], random.choice([0, 1, 1, 2, 3, 4])))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert found(spark, work, rows, n, percent) == brute(rows, n, percent)

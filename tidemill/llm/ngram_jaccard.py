@@ -6,16 +6,18 @@ rare tokens are indexed by those of the prefix, one by one. For the others the p
 the frequent class, far enough that two similar sets also share neighbouring tokens there, and
 combinations of two neighbours are the keys.
 
-Keys of few sets give candidate pairs. A key of many sets never does: its sets are compared with one
-of them, the pivot. All that two sets of such a group have in common follows from what each has more
-or less than the pivot, and if both differ from it in nothing they share, a link between them implies
-a link of both with the pivot. So only sets whose differences overlap enough are candidates, which are
-found by prefixes of the differences. Every candidate is verified exactly.
+Keys of few sets give candidate pairs. A key of many sets never does: it is divided by size, and where
+many sets of like size are left, they are compared with one of them, the pivot. All that two sets of
+such a group have in common follows from what each has more or less than the pivot, and if both differ
+from it in nothing they share, a link between them implies a link of both with the pivot. So only sets
+whose differences overlap enough are candidates, which are found by prefixes of the differences. Every
+candidate is verified exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -225,6 +227,17 @@ def fits(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def sized(keys: DataFrame, percent: int) -> DataFrame:
+    """Two keys for each of ``keys``, of sets of like size: two that can link share one of them.
+
+    Sizes fall into classes a little wider than the largest ratio of two that can link, so these are in
+    one class or in neighbouring ones.
+    """
+    of = F.floor(F.log("n") / math.log(101 / percent))
+    both = keys.select("key", "node", "n", F.explode(F.array(of, of + 1)).alias("sizes"))
+    return both.select(F.xxhash64("key", "sizes").alias("key"), "node", "n")
+
+
 def few_pairs(keys: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets that share a key of few sets; ``keys`` has these only."""
     left = keys.select("key", F.col("node").alias("a"), F.col("n").alias("na"))
@@ -299,11 +312,19 @@ def overlap_pairs(parts: DataFrame, percent: int, work: Workspace) -> DataFrame:
     one. Any two share at least (u - slack) / 100, as u' is percent or more for each shared token, and no
     more than either has. Tokens are ordered by how many of the pivot's sets
     have them, and those that one set alone has are in no prefix.
+
+    What one of the differences has and the other does not is in one of the two sets only. A set of n
+    has a link across (100 - percent) n / percent of these tokens at most, and two have one across
+    (100 - percent) (n + n') / (100 + percent) at most, for both sides together. Up to the first token
+    two differences share there are, on each side, those that one has alone and those before it. So
+    in one of them that token comes within half of the set's own bound, and only this half is compared
+    with the others' prefixes.
     """
     whole = 100 + percent
     size = F.size("less") + F.size("more")
     rows = parts.withColumn("u", 100 * F.size("less") + percent * F.size("more")).select(
         "pivot", "node", "linked", "u", size.alias("size"),
+        (F.col("np") - F.size("less") + F.size("more")).alias("n"),
         ((100 - percent) * F.col("np")).alias("slack"),
         F.concat(
             F.transform("more", lambda t: F.xxhash64(t, F.lit(1))),
@@ -324,15 +345,16 @@ def overlap_pairs(parts: DataFrame, percent: int, work: Workspace) -> DataFrame:
     )
     rows = rows.drop("signed").join(shared, ["pivot", "node"]).join(reach, "pivot", "left")
     alone = F.col("size") - F.size("shared")
+    apart = F.floor((100 - percent) * F.col("n") / percent)
 
     def head(need: Column) -> Column:
-        room = F.greatest(F.col("size") - need + 1 - alone, F.lit(0)).cast("int")
+        room = F.greatest(F.least(F.col("size") - need, apart) + 1 - alone, F.lit(0)).cast("int")
         return F.transform(F.slice("shared", F.lit(1), room), lambda t: t["key"])
 
     beyond = F.col("u") - F.col("slack")
     with_far, with_any = F.floor(F.col("u") / whole) + 1, F.ceil(beyond / 100)
     rows = rows.select(
-        "pivot", "node", "linked", "u", "size", "slack", alone.alias("alone"),
+        "pivot", "node", "linked", "u", "n", "size", "slack", alone.alias("alone"),
         head(F.greatest(with_far, with_any)).alias("own"),
         F.when(
             ~F.col("linked") & (beyond <= F.col("reach")), head(F.greatest(with_any, F.lit(1)))
@@ -341,28 +363,31 @@ def overlap_pairs(parts: DataFrame, percent: int, work: Workspace) -> DataFrame:
     rows = work.keep(rows, "difference-heads")
 
     def index(which: DataFrame, letter: str, heads: str) -> DataFrame:
-        return which.select(
+        places = which.select("*", F.posexplode(heads).alias("place", "key"))
+        return places.select(
             "pivot",
-            F.explode(heads).alias("key"),
+            "key",
             F.col("node").alias(letter),
-            F.col("u").alias(f"u_{letter}"),
-            F.col("size").alias(f"size_{letter}"),
-            (F.col("size") - F.col("alone") - F.size(heads)).alias(f"rest_{letter}"),
-            *(["slack"] if letter == "a" else []),
+            *(F.col(c).alias(f"{c}_{letter}") for c in ("u", "n", "size", "slack")),
+            (F.col("alone") + F.col("place")).alias(f"apart_{letter}"),
         )
 
+    def meeting(first: DataFrame, first_heads: str, second: DataFrame, second_heads: str) -> DataFrame:
+        half = 2 * percent * F.col("apart_a") <= (100 - percent) * F.col("n_a")
+        left = index(first, "a", first_heads).where(half)
+        both = left.join(index(second, "b", second_heads), ["pivot", "key"])
+        ordered = F.struct("apart_a", "a") < F.struct("apart_b", "b")
+        least = F.col("u_a") + F.col("u_b") - F.col("slack_a")
+        can_share = least <= whole * F.least("size_a", "size_b")
+        total = (100 - percent) * (F.col("n_a") + F.col("n_b"))
+        can_link = whole * (F.col("apart_a") + F.col("apart_b")) <= total
+        like = fits(F.col("n_a"), F.col("n_b"), percent)
+        return both.where(ordered & can_share & can_link & like)
+
     far, near = rows.where("NOT linked"), rows.where("linked")
-    least = F.col("u_a") + F.col("u_b") - F.col("slack")
-    can_link = least <= whole * F.least("size_a", "size_b")
-    among = index(far, "a", "own").join(index(far, "b", "own"), ["pivot", "key"]).where("a < b")
-    across = index(far, "a", "far").join(index(near, "b", "own"), ["pivot", "key"])
-    # What two share is in both heads, but for what comes behind the head that ends first.
-    more = whole * F.greatest("rest_a", "rest_b")
-    found = among.union(across).where(can_link).groupBy("pivot", "a", "b").agg(
-        F.count(F.lit(1)).alias("both"), F.first(least - more).alias("missing")
-    )
-    found = found.where(whole * F.col("both") >= F.col("missing"))
-    pairs = work.keep(found.select("pivot", "a", "b"), "overlaps")
+    found = meeting(far, "own", far, "own")
+    found = found.union(meeting(far, "far", near, "own")).union(meeting(near, "own", far, "far"))
+    pairs = work.keep(found.select("pivot", "a", "b").distinct(), "overlaps")
 
     def side(letter: str) -> DataFrame:
         return parts.select(
@@ -467,12 +492,15 @@ def links_between(
     work.forget("keys")
     work.forget("counts")
     few, many = F.col("sets") <= FEW_SETS, F.col("sets") > FEW_SETS
-    pairs = few_pairs(shared.where(few).drop("sets"), percent)
+    crowds = work.keep(sized(shared.where(many), percent), "crowds")
+    counts = crowds.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    crowds = crowds.join(work.keep(counts, "counts"), "key")
+    pairs = few_pairs(shared.union(crowds.select(*shared.columns)).where(few).drop("sets"), percent)
     pairs = work.keep(plausible(pairs, nodes, percent), "pairs")
     weights = nodes.select("node", "copies")
-    stars = work.keep(star_pairs(shared.where(many).drop("sets"), weights, work), "stars")
-    work.forget("shared")
-    work.forget("pivots")
+    stars = work.keep(star_pairs(crowds.where(many).drop("sets"), weights, work), "stars")
+    for name in ("shared", "crowds", "counts", "pivots"):
+        work.forget(name)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(
         stars.select(F.explode(F.array("pivot", "node")))
     )
